@@ -22,9 +22,11 @@ HOT_ROWS = 1_000_000
 
 
 def hot_groups(
-    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], share: float | None = None, min_rows: int | None = None
 ) -> DataFrame:
     """Key values holding more than `share` of all rows: fewer than 1/share of them, always."""
+    share = HOT_SHARE if share is None else share
+    min_rows = HOT_ROWS if min_rows is None else min_rows
     counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))
     total = counts.agg(F.sum("__n")).scalar()
     limit = F.greatest(total * F.lit(share), F.lit(float(min_rows)))
@@ -46,8 +48,8 @@ def forward_fill(
     order: Sequence[str],
     partition: Sequence[str],
     chunk: Column | None = None,
-    hot_share: float = HOT_SHARE,
-    hot_rows: int = HOT_ROWS,
+    hot_share: float | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Replace NULLs in `cols` by the last non-NULL value above them in the group."""
     if chunk is None:

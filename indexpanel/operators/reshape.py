@@ -1,6 +1,7 @@
 """Spreadsheet-like grids to tidy tables, and long <-> wide.
 
-A grid is a DataFrame (sheet STRING, row_idx INT, cells ARRAY<STRING>); an empty cell is NULL.
+A grid is a DataFrame (sheet STRING, row_idx INT, cells ARRAY<STRING>); an empty cell is NULL
+or '', and is read as NULL.
 """
 
 from __future__ import annotations
@@ -20,8 +21,14 @@ EMPTY_HEADERS = ("", "NaN")
 
 
 def cell(i: int) -> Column:
-    """Cell i of a grid row; NULL beyond the end of a short row."""
-    return F.get("cells", F.lit(i))
+    """Cell i of a grid row; NULL where it is empty or beyond the end of a short row."""
+    return F.nullif(F.get("cells", F.lit(i)), F.lit(""))
+
+
+def _cells() -> Column:
+    """Explodes the cells. The outer form spares a filter that would compute them twice; the
+    one NULL row it adds for an empty array has no header and is dropped with the others."""
+    return F.posexplode_outer("cells").alias("col_idx", "cell")
 
 
 def skip_rows(grid: DataFrame, n: int) -> DataFrame:
@@ -54,11 +61,12 @@ def unpivot_by_header(grid: DataFrame, row: int, keep: Mapping[str, Column] | No
     named = body.join(header, "sheet").select(
         "sheet", "row_idx", "__names",
         *[c.alias(k) for k, c in keep.items()],
-        F.posexplode("cells").alias("col_idx", "cell"),
+        _cells(),
     )
     return (
         named.withColumn("name", F.trim(F.get("__names", F.col("col_idx"))))
         .filter(F.col("name").isNotNull() & ~F.col("name").isin(*EMPTY_HEADERS))
+        .withColumn("cell", F.nullif("cell", F.lit("")))
         .drop("__names")
     )
 
@@ -194,7 +202,7 @@ def tidy_sections(
         valid.join(header, "sheet")
         .select(
             "sheet", "row_idx", "year", "quarter", "metric", "__names",
-            F.posexplode("cells").alias("col_idx", "cell"),
+            _cells(),
         )
         .withColumn(member, F.trim(F.get("__names", F.col("col_idx"))))
         .filter(F.col(member).isNotNull() & ~F.col(member).isin(*EMPTY_HEADERS))

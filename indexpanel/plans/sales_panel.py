@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from indexpanel.functions.numbers import from_minor_units, minor_units
 from indexpanel.functions.periods import ordinal, ordinal_end, period_label, quarter_name
 from indexpanel.functions.text import TOTAL_NAME
 from indexpanel.operators.series import index_panel
+from indexpanel.plans.sizing import broadcast_if_small
 
 NATIONAL = "ALL REGIONS"
 REF_WIDTH = 10
@@ -27,8 +29,16 @@ PART_KEYS = ("p_type", "p_brand", "p_name", "component")
 REGION_KEYS = ("r_name",)
 
 
+_TABLES: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; its footers are listed and read for the schema once per session."""
+    known = _TABLES.setdefault(spark, {})
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in known:
+        known[path] = spark.read.parquet(path)
+    return known[path]
 
 
 def _quarter_start(o: int) -> Column:
@@ -62,10 +72,17 @@ def sales_cells(
     orders = table(spark, sf_dir, "orders")
     if ordinals is not None:
         orders = orders.filter(in_quarters(F.col("o_orderdate"), ordinals))
-    rows = line.join(
-        orders.select("o_orderkey", "o_custkey", ordinal(F.col("o_orderdate")).alias("ordinal")),
-        F.col("l_orderkey") == F.col("o_orderkey"),
-    )
+    dated = orders.select("o_orderkey", "o_custkey", ordinal(F.col("o_orderdate")).alias("ordinal"))
+    places = [k for k in keys if k in REGION_KEYS]
+    if places:
+        # Orders find their region first: a quarter of the rows line items would shuffle.
+        regional = (
+            dated.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+            .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        )
+        dated = broadcast_if_small(regional.select("o_orderkey", "ordinal", *places), dated)
+    rows = line.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
     if parts is not None or any(k in PART_KEYS for k in keys):
         part = table(spark, sf_dir, "part")
         part = part if parts is None else part.filter(parts)
@@ -75,14 +92,6 @@ def sales_cells(
             part.select("p_partkey", *[k for k in keys if k in PART_KEYS]),
             F.col("l_partkey") == F.col("p_partkey"),
         )
-    if any(k in REGION_KEYS for k in keys):
-        customer = (
-            table(spark, sf_dir, "customer")
-            .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select("c_custkey", "r_name")
-        )
-        rows = rows.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     return rows.groupBy(*keys, "ordinal").agg(
         from_minor_units(F.sum("v")).alias("value"), from_minor_units(F.sum("q")).alias("quantity")
     )

@@ -1,0 +1,31 @@
+"""Broadcast only what is small by a size Spark has measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def scan_bytes(df: DataFrame) -> int | None:
+    """Size of a scanned table by its file statistics; None where they are not at hand."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:
+        return None
+
+
+def _threshold(df: DataFrame) -> int:
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number = text.rstrip("bkmg")
+    unit = {"k": 2**10, "m": 2**20, "g": 2**30}.get(text[len(number):len(number) + 1], 1)
+    return int(float(number) * unit)
+
+
+def broadcast_if_small(df: DataFrame, scanned: DataFrame) -> DataFrame:
+    """Broadcast `df` if `scanned`, a table with at least as many rows, is below Spark's own limit.
+
+    For joins whose result Spark cannot estimate. Beyond the limit there is no hint, and the
+    join is a shuffle join that AQE may still change by the sizes it measures.
+    """
+    size = scan_bytes(scanned)
+    return F.broadcast(df) if size is not None and size <= _threshold(df) else df

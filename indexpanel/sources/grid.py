@@ -1,4 +1,7 @@
-"""Cell grids: (sheet STRING, row_idx INT, cells ARRAY<STRING>), row order explicit."""
+"""Cell grids: (sheet STRING, row_idx INT, cells ARRAY<STRING>), row order explicit.
+
+An empty cell is NULL or ''; reshape.cell and the unpivots read both as NULL.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def empty_to_null(cells: Column) -> Column:
-    return F.transform(cells, lambda c: F.when(c != "", c))
-
-
 def grid_from_lines(
     df: DataFrame, sheet: str, text: str, cell_separator: str | None = None
 ) -> DataFrame:
@@ -21,14 +20,14 @@ def grid_from_lines(
         F.posexplode(F.split(text, "\r?\n")).alias("row_idx", "line"),
     )
     cells = F.array("line") if cell_separator is None else F.split("line", cell_separator)
-    return lines.select("sheet", "row_idx", empty_to_null(cells).alias("cells"))
+    return lines.select("sheet", "row_idx", cells.alias("cells"))
 
 
 def grid_from_columns(df: DataFrame, sheet: Column, row_idx: str, columns: Sequence[str]) -> DataFrame:
     """A stored wide grid (c0, c1, ...) to a grid."""
     return df.select(
         sheet.cast("string").alias("sheet"), F.col(row_idx).cast("int").alias("row_idx"),
-        empty_to_null(F.array(*[F.col(c).cast("string") for c in columns])).alias("cells"),
+        F.array(*[F.col(c).cast("string") for c in columns]).alias("cells"),
     )
 
 
@@ -44,9 +43,9 @@ def read_grid(spark: SparkSession, path: str | list[str], n_columns: int) -> Dat
     lines = files.select(
         "sheet", F.posexplode(F.split(F.rtrim("value"), "\r?\n")).alias("row_idx", "line")
     )
-    parsed = F.from_csv("line", ", ".join(f"{n} string" for n in names), {"mode": "PERMISSIVE"})
-    return lines.select(
-        "sheet", "row_idx", empty_to_null(F.array(*[parsed[n] for n in names])).alias("cells")
+    parsed = F.inline(F.array(F.from_csv("line", ", ".join(f"{n} string" for n in names))))
+    return lines.select("sheet", "row_idx", parsed).select(
+        "sheet", "row_idx", F.array(*names).alias("cells")
     )
 
 

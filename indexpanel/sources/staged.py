@@ -33,11 +33,9 @@ def load_with_rejects(lines: DataFrame, picks: Sequence[Pick], line: str = "line
     """
     width = max(p.position for p in picks)
     ddl = ", ".join(f"_{i} string" for i in range(1, width + 1))
-    parsed = lines.withColumn("__f", F.from_csv(line, ddl, {"quote": '"', "escape": '"'}))
-    typed = parsed.select(
-        F.col(line),
-        *[F.col(f"__f._{p.position}").alias(f"__raw_{p.name}") for p in picks],
-    )
+    # A generator, so that a line is parsed once however many columns are picked from it.
+    parsed = lines.select(line, F.inline(F.array(F.from_csv(line, ddl, {"quote": '"', "escape": '"'}))))
+    typed = parsed.select(line, *[F.col(f"_{p.position}").alias(f"__raw_{p.name}") for p in picks])
     typed = typed.withColumns({p.name: _cast(F.col(f"__raw_{p.name}"), p.kind) for p in picks})
     failed = F.coalesce(*[
         F.when(F.col(f"__raw_{p.name}").isNotNull() & F.col(p.name).isNull(), p.name)

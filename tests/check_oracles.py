@@ -44,8 +44,9 @@ def compare(spark_df, con, sql):
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} != {sorted(names)}"
     if got != want:
-        extra = [x for x in got if x not in set(want)][:2]
-        missing = [x for x in want if x not in set(got)][:2]
+        in_got, in_want = set(got), set(want)
+        extra = [x for x in got if x not in in_want][:2]
+        missing = [x for x in want if x not in in_got][:2]
         return f"rows {len(got)} / {len(want)}; only spark {extra}; only sql {missing}"
     return None if got else "empty"
 

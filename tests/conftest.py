@@ -18,6 +18,7 @@ def session():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", os.environ.get("TEST_WAREHOUSE", "/tmp/indexpanel-warehouse"))
         .getOrCreate()
