@@ -41,7 +41,7 @@ def read_grid(spark: SparkSession, path: str | list[str], n_columns: int) -> Dat
     sheet = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
     files = spark.read.text(path, wholetext=True).select(sheet.alias("sheet"), "value")
     lines = files.select(
-        "sheet", F.posexplode(F.split(F.rtrim("value"), "\r?\n")).alias("row_idx", "line")
+        "sheet", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), "\r?\n")).alias("row_idx", "line")
     )
     parsed = F.inline(F.array(F.from_csv("line", ", ".join(f"{n} string" for n in names))))
     return lines.select("sheet", "row_idx", parsed).select(
