@@ -1,6 +1,6 @@
 """Times every registered query into a noop sink: one warm-up, then the median of the runs.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3),
+BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 1),
 BENCH_KEYS (comma-separated, default all).
 """
 
@@ -19,7 +19,7 @@ from indexpanel.queries import QUERIES
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     keys = [k for k in os.environ.get("BENCH_KEYS", "").split(",") if k] or list(QUERIES)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")

@@ -65,12 +65,14 @@ def contribution(
     return out
 
 
-def contribution_share(df: DataFrame, digits: int = 1) -> DataFrame:
-    """Each member's part of the total, in percent."""
-    return df.withColumn(
-        "share_pct",
-        round_half_up(F.try_divide(F.col("contribution_pp"), F.col("total_pp")) * 100, digits),
-    )
+def contribution_share(
+    df: DataFrame, change: str, weight: str, by: Sequence[str], digits: int = 1
+) -> DataFrame:
+    """Each member's part of the total change, in percent, from the unrounded points."""
+    points = round_half_up(F.col(change) * F.col(weight) / 100, 6).cast("decimal(18,6)")
+    total = F.sum(points).over(W.partitionBy(*by))
+    share = F.try_divide(points.cast("double"), total.cast("double")) * 100
+    return df.withColumn("share_pct", round_half_up(share, digits))
 
 
 def waterfall(df: DataFrame, by: Sequence[str], member: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indexpanel.functions.text import any_like, any_regex, is_group_name
@@ -21,7 +21,7 @@ def keyword_regex(df: DataFrame, name: str, pattern: str, subgroups_only: bool =
 
 
 def under_prefix(df: DataFrame, ref: str, parent: str) -> DataFrame:
-    """Children of one parent by reference code."""
+    """Members below one parent, by reference code."""
     return df.filter(F.col(ref).startswith(parent) & (F.col(ref) != parent))
 
 
@@ -35,6 +35,3 @@ def slicer(
         F.col(member) == chosen
     )
 
-
-def with_band(df: DataFrame, label: Column, name: str = "band") -> DataFrame:
-    return df.withColumn(name, label)

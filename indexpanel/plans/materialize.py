@@ -1,0 +1,22 @@
+"""Cut the lineage of a small result that several checks read."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the folder spark.checkpoint.dir names.
+
+    Where it is unset: a temporary folder in local mode; on a cluster none is shared, so the
+    result is left to be computed again.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            return df
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="indexpanel-"))
+    return df.checkpoint()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indexpanel.functions.numbers import round_half_up
-from indexpanel.functions.text import TOTAL_NAME, any_like, band, compare_band, short_label
+from indexpanel.functions.text import TOTAL_NAME, band, compare_band, is_group_name, short_label
 from indexpanel.operators import compare, decompose, drill, series
 
 ALL = "__series"
@@ -119,7 +119,7 @@ def regions_vs_references(fact: DataFrame, period: str, national: str, benchmark
 
 
 def keyword_drill(fact: DataFrame, dim: DataFrame, period: str, patterns: Sequence[str]) -> DataFrame:
-    rows = _snapshot(fact, dim, period).filter(any_like(F.col("group_name"), patterns))
+    rows = drill.keyword_like(_snapshot(fact, dim, period), "group_name", patterns)
     return rows.orderBy(F.desc("yoy_pct_change"), "group_name").select(
         "group_name", "level", _r1("yoy_pct_change").alias("yoy_pct"),
         _r1("qoq_pct_change").alias("qoq_pct"),
@@ -140,24 +140,51 @@ def subgroup_drill(
     )
 
 
+def group_trend(fact: DataFrame, group: str) -> DataFrame:
+    """One group's annual rate beside the total's, by quarter."""
+    out = drill.slicer(fact, "group_name", group, TOTAL_NAME, "yoy_pct_change", ["period"], "total_yoy")
+    return out.orderBy("period_date").select(
+        "period", "group_name", _r1("yoy_pct_change").alias("yoy_pct"), _r1("total_yoy").alias("total_yoy_pct")
+    )
+
+
+def group_breakdown(fact: DataFrame, dim: DataFrame, group: str, period: str, k: int | None = None) -> DataFrame:
+    """Subgroups of one group (by reference prefix), fastest first, against the group's rate."""
+    parent = dim.filter(F.col("group_name") == group).select("series_ref").scalar()
+    rows = fact.filter(F.col("period") == period).join(dim, "group_name").filter(
+        F.col("series_ref").startswith(parent)
+    )
+    headline = compare.member_value("yoy_pct_change", "group_name", group, ["period"])
+    below = rows.withColumn("headline", headline).filter(F.col("group_name") != group)
+    ranked = compare.rank_within(below, "yoy_pct_change", ["period"])
+    top = ranked if k is None else ranked.filter(F.col("rank") <= k)
+    return top.orderBy("rank", "group_name").select(
+        "group_name", _r1("yoy_pct_change").alias("yoy_pct"), "rank",
+        compare_band(F.col("yoy_pct_change"), F.col("headline")).alias("band"),
+    )
+
+
 def decomposition(
-    fact: DataFrame, national: DataFrame, weights: DataFrame, labels: DataFrame, period: str
+    fact: DataFrame, national: DataFrame, weights: DataFrame, labels: DataFrame, period: str,
+    annual: bool = True,
 ) -> DataFrame:
-    """Contribution of each group to the headline, largest first; total and residual."""
-    rows = fact.filter(F.col("period") == period).filter(
-        F.lower("group_name").endswith(" group")
-    ).join(national.select("period", F.col("allgroups_yoy_pct").cast("double")), "period")
-    rows = _double(rows, "yoy_pct_change")
+    """Contribution of each group to the (annual or quarterly) headline, largest first."""
+    change, headline = (
+        ("yoy_pct_change", "allgroups_yoy_pct") if annual else ("qoq_pct_change", "allgroups_qoq_pct")
+    )
+    rows = fact.filter(F.col("period") == period).filter(is_group_name(F.col("group_name"))).join(
+        national.select("period", F.col(headline).cast("double")), "period"
+    )
+    rows = _double(rows, change)
     weighted = decompose.with_lookup(
         decompose.with_lookup(rows, weights, "group_name", "weight"), labels, "group_name", "label"
     )
-    out = decompose.contribution(
-        weighted, "yoy_pct_change", "weight", ["period"], "allgroups_yoy_pct"
-    )
-    return decompose.waterfall(decompose.contribution_share(out), ["period"], "group_name").orderBy(
+    out = decompose.contribution(weighted, change, "weight", ["period"], headline)
+    shared = decompose.contribution_share(out, change, "weight", ["period"])
+    return decompose.waterfall(shared, ["period"], "group_name").orderBy(
         "bar"
     ).select(
-        "group_name", "label", "weight", "yoy_pct_change", "contribution_pp", "total_pp",
+        "group_name", "label", "weight", change, "contribution_pp", "total_pp",
         "residual", "share_pct", "bar", "bar_start", "bar_end",
     )
 

@@ -122,7 +122,8 @@ def _member(name: Column, ref: Column) -> Column:
 
 
 def group_cells(
-    spark: SparkSession, sf_dir: str, subgroups: bool = True, ordinals: Sequence[int] | None = None
+    spark: SparkSession, sf_dir: str, subgroups: bool = True,
+    ordinals: Sequence[int] | None = None, parts: Column | None = None,
 ) -> DataFrame:
     """value and quantity of the total, the groups and (optionally) the subgroups."""
     keys = ["p_type", "p_brand"] if subgroups else ["p_type"]
@@ -134,14 +135,15 @@ def group_cells(
         entries.append(_member(
             F.concat("p_type", F.lit(" / "), "p_brand"), F.concat(group_ref(), F.col("p_brand"))
         ))
-    return with_levels(sales_cells(spark, sf_dir, keys, ordinals), entries)
+    return with_levels(sales_cells(spark, sf_dir, keys, ordinals, parts), entries)
 
 
 def group_panel(
-    spark: SparkSession, sf_dir: str, subgroups: bool = True, ordinals: Sequence[int] | None = None
+    spark: SparkSession, sf_dir: str, subgroups: bool = True,
+    ordinals: Sequence[int] | None = None, parts: Column | None = None,
 ) -> DataFrame:
     """The same members, each an indexed series."""
-    return index_panel(group_cells(spark, sf_dir, subgroups, ordinals), ["group_name"])
+    return index_panel(group_cells(spark, sf_dir, subgroups, ordinals, parts), ["group_name"])
 
 
 def region_panel(spark: SparkSession, sf_dir: str, ordinals: Sequence[int] | None = None) -> DataFrame:

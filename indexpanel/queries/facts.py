@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from indexpanel.functions.text import TOTAL_NAME
 from indexpanel.operators import decompose, quality, star
 from indexpanel.plans import sales_panel as sp
+from indexpanel.plans.materialize import materialize
 from indexpanel.queries.base import (
     END, GROUPED, GROUPED_ALL, LABEL, REGIONS, SALES, panel, query, wide,
 )
+from indexpanel.sources.schema import KEYS, REFERENCES
 
 PERIOD_SQL = f"{LABEL} AS period, CAST({END} AS VARCHAR) AS period_date"
 
@@ -108,3 +110,34 @@ def panel_gaps(spark, sf):
     entity = ["p_type", "p_brand", "r_name"]
     gaps = quality.panel_gaps(sp.sales_cells(spark, sf, entity), entity)
     return sp.with_period(gaps).select(*entity, "period")
+
+
+CHECKS = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"check\", CAST(0 AS BIGINT) AS n, 'OK' AS status"
+    for c in [f"duplicate keys {t}" for t in KEYS] + [f"orphans {f} {k}" for f, _, k in REFERENCES]
+)
+
+
+@query(f"""WITH {SALES}, {GROUPED_ALL}, {REGIONS},
+counts AS (SELECT 'dim_period' AS t, count(DISTINCT ordinal) AS n FROM sales
+  UNION ALL SELECT 'dim_group', count(DISTINCT group_name) FROM grouped
+  UNION ALL SELECT 'dim_region', count(DISTINCT region) FROM regions
+  UNION ALL SELECT 'fact_allgroups', count(DISTINCT ordinal) FROM sales
+  UNION ALL SELECT 'fact_groups', count(*) FROM (SELECT DISTINCT group_name, ordinal FROM grouped)
+  UNION ALL SELECT 'fact_regional', count(*) FROM (SELECT DISTINCT region, ordinal FROM regions))
+SELECT 'rows ' || t AS "check", CAST(n AS BIGINT) AS n,
+  CASE WHEN t = 'dim_region' AND n <> (SELECT count(*) + 1 FROM region) THEN 'EXPECTED ' || (SELECT count(*) + 1 FROM region)
+       WHEN t = 'dim_region' THEN 'OK' ELSE 'EXPECTED nothing' END AS status FROM counts
+UNION ALL {CHECKS}""")
+def star_report(spark, sf):
+    """The star built from the sales panels, and its verification."""
+    names = {"index_value": "cpi_index", "qoq": "qoq_pct_change", "yoy": "yoy_pct_change"}
+    regional = sp.with_period(sp.region_panel(spark, sf)).withColumnsRenamed(names)
+    groups = sp.with_period(sp.group_panel(spark, sf)).withColumnsRenamed(
+        {"qoq": "qoq_pct_change", "yoy": "yoy_pct_change"}
+    )
+    # Each panel is read by many checks: written once, like the stored star would be.
+    panels = [materialize(p) for p in (sp.with_period(sp.wide_series(spark, sf)), groups, regional)]
+    regions = sp.table(spark, sf, "region").agg((F.count("*") + 1).alias("expected"))
+    expected = regions.select(F.lit("dim_region").alias("table_name"), "expected")
+    return star.verify_star(star.build_star(*panels), expected)

@@ -61,10 +61,10 @@ def grid_header_join(spark, sf):
 ORDER = ["ts", "event_id"]
 
 
-def _hours():
-    """Hour of the event, never decreasing in ts: splits a hot user's events."""
+def _minutes():
+    """Minute of the event, never decreasing in ts: splits a hot user's events."""
     day = F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date"))
-    return day * 24 + F.hour("ts")
+    return (day * 24 + F.hour("ts")) * 60 + F.minute("ts")
 
 
 def _events(spark, sf):
@@ -79,7 +79,7 @@ def _carried(spark, sf):
     rows = _events(spark, sf).withColumn(
         "carried", F.when(F.col("event_type") == "purchase", F.col("value"))
     )
-    return ordered.forward_fill(rows, ["carried"], ORDER, ["user_id"], chunk=_hours())
+    return ordered.forward_fill(rows, ["carried"], ORDER, ["user_id"], chunk=_minutes())
 
 
 @query(f"SELECT event_id, user_id, event_type, carried FROM ({FILLED_SQL})")
@@ -100,7 +100,7 @@ SELECT event_id, user_id, event_type, section FROM m WHERE section IS NOT NULL A
 def section_carry(spark, sf):
     opens = F.when(F.col("event_type") == "signup", F.col("event_id"))
     out = ordered.section_carry(
-        _events(spark, sf), opens, "section", ORDER, ["user_id"], chunk=_hours()
+        _events(spark, sf), opens, "section", ORDER, ["user_id"], chunk=_minutes()
     )
     return out.select("event_id", "user_id", "event_type", "section")
 
@@ -110,7 +110,7 @@ SELECT event_id, e.user_id, event_type FROM events e LEFT JOIN cut ON cut.user_i
 WHERE first_error IS NULL OR struct_pack(ts := e.ts, id := e.event_id) < first_error""")
 def cut_at_sentinel(spark, sf):
     out = ordered.cut_at_sentinel(
-        _events(spark, sf), F.col("event_type") == "error", ORDER, ["user_id"], chunk=_hours()
+        _events(spark, sf), F.col("event_type") == "error", ORDER, ["user_id"], chunk=_minutes()
     )
     return out.select("event_id", "user_id", "event_type")
 

@@ -47,6 +47,13 @@ def null_profile(spark, sf):
     return q.null_profile(_labelled(spark, sf))
 
 
+@query(f"WITH {LABELLED_SQL} SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS n_nulls FROM d" for c in LABELLED
+) + ") WHERE n_nulls > 0")
+def not_null(spark, sf):
+    return q.not_null(_labelled(spark, sf), LABELLED)
+
+
 PART_TYPES = {
     "p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string",
     "p_size": "int", "p_retailprice": "double",

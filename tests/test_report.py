@@ -190,6 +190,28 @@ def test_decomposition(spark, star):
     assert got[1].label == "Food" and got[0].label is None
 
 
+def test_quarterly_share(spark, star):
+    weights = lookup_df(spark, WEIGHTS, "group_name", "weight", ("string", "double"))
+    labels = lookup_df(spark, {"Food group": "Food"}, "group_name", "label", ("string", "string"))
+    got = report.decomposition(
+        star["fact_groups"], star["fact_allgroups"], weights, labels, NOW, annual=False).collect()
+    shares = {r.group_name: r.share_pct for r in got}
+    assert shares["Transport group"] == 23.6 and len(got) == 11
+    assert abs(sum(shares.values()) - 100) < 0.5
+
+
+def test_category_page(star):
+    group = "Housing and household utilities group"
+    trend = rows(report.group_trend(star["fact_groups"], group))
+    assert trend[-1] == ("Mar-26", group, 3.4, 3.1)
+    parts = rows(report.group_breakdown(star["fact_groups"], star["dim_group"], group, NOW, 2))
+    if star["complete"]:
+        assert len(trend) == 5
+        assert [r[0] for r in parts] == ["Household energy", "Property rates and related services"]
+    else:
+        assert parts[0] == ("Household energy", 12.3, 1, "above")
+
+
 def test_divergence(star):
     parts = report.divergence(star["fact_allgroups"])
     latest = parts["latest"].first()
