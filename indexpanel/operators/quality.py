@@ -21,12 +21,14 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def expect_counts(counts: DataFrame, expected: DataFrame) -> DataFrame:
     """Counts beside expectations (table_name, expected): OK, or EXPECTED n."""
+    wanted = F.coalesce(F.col("expected").cast("string"), F.lit("nothing"))
     ok = F.col("n_rows").eqNullSafe(F.col("expected"))
     return (
-        counts.join(expected, "table_name", "left")
-        .withColumn("status", F.when(ok, "OK").otherwise(
-            F.concat(F.lit("EXPECTED "), F.coalesce(F.col("expected").cast("string"), F.lit("nothing")))
-        ))
+        counts.unionByName(expected, allowMissingColumns=True)
+        .groupBy("table_name")
+        .agg(F.max("n_rows").alias("n_rows"), F.max("expected").alias("expected"))
+        .filter(F.col("n_rows").isNotNull())
+        .withColumn("status", F.when(ok, "OK").otherwise(F.concat(F.lit("EXPECTED "), wanted)))
     )
 
 
