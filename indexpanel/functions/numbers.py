@@ -35,10 +35,6 @@ def clean_number(c: Column, na: str = NOT_AVAILABLE) -> Column:
     return F.when((cell != na) & digits.rlike(NUMBER_PATTERN), digits.try_cast("double"))
 
 
-def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
-
-
 def pct_change(now: Column, before: Column) -> Column:
     """(now - before) / before * 100; NULL on a zero or missing base."""
     return F.try_divide(now - before, before) * 100

@@ -165,7 +165,10 @@ def regime_runs(
 def series_range(
     df: DataFrame, series: Sequence[str], label: str, value: str, order: str = "ordinal"
 ) -> DataFrame:
-    """Rows, first and last label, peak value and the (earliest) label it was reached."""
+    """Rows, first and last label, peak value and the (earliest) label it was reached.
+
+    `order` is a number.
+    """
     return df.groupBy(*series).agg(
         F.count("*").alias("n_rows"),
         F.min_by(label, order).alias("first_label"),

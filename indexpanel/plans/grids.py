@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from indexpanel.functions.periods import ordinal_end, period_label, quarter_name
+from indexpanel.sources.files import literal_df
 
 SECTION_ROWS = 100_000
 
@@ -85,7 +86,7 @@ def panel_grid(
             (10**6 + 1, F.array(F.lit("After the end"), F.lit("X"), F.lit("1"))),
         )
     ])
-    sheets = panel.sparkSession.createDataFrame([(s,) for s in measures], "sheet string")
+    sheets = literal_df(panel.sparkSession, [(s,) for s in measures], "sheet string")
     frame = sheets.withColumn("axis", axis).select("sheet", F.explode(top).alias("r")).select("sheet", "r.*")
     return body.unionByName(frame)
 

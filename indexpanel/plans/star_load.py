@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from indexpanel.operators.star import build_star, verify_star
+from indexpanel.sources.files import lookup_df
 from indexpanel.sources.schema import GROUPS, REGIONAL, SERIES
 from indexpanel.sources.staged import Pick, load_with_rejects, staged_load
 
@@ -31,5 +32,5 @@ def load_report(lines: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def verify(spark: SparkSession, tables: dict[str, DataFrame], expected: dict[str, int]) -> DataFrame:
-    counts = spark.createDataFrame(list(expected.items()), "table_name string, expected bigint")
+    counts = lookup_df(spark, expected, "table_name", "expected", ("string", "bigint"))
     return verify_star(tables, counts)

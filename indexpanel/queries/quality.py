@@ -8,6 +8,7 @@ from indexpanel.operators import quality as q
 from indexpanel.operators import series, star
 from indexpanel.plans.sales_panel import table
 from indexpanel.queries.base import query
+from indexpanel.sources.files import lookup_df
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -25,7 +26,7 @@ SELECT table_name, n_rows, CAST(expected AS BIGINT) AS expected,
 FROM c LEFT JOIN e USING (table_name)""")
 def row_counts(spark, sf):
     counts = q.row_counts({t: table(spark, sf, t) for t in TABLES})
-    expected = spark.createDataFrame(list(EXPECTED.items()), "table_name string, expected bigint")
+    expected = lookup_df(spark, EXPECTED, "table_name", "expected", ("string", "bigint"))
     return q.expect_counts(counts, expected)
 
 

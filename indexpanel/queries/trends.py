@@ -9,7 +9,7 @@ from indexpanel.functions.text import TOTAL_NAME
 from indexpanel.operators import compare, reshape, series
 from indexpanel.plans import sales_panel as sp
 from indexpanel.queries.base import (
-    COMPONENT_ROWS, GROUPED, LABEL, SALES, TARGET, panel, query, r, wide,
+    GROUPED, LABEL, SALES, TARGET, panel, query, r, wide,
 )
 
 TYPE_SQL = f"{SALES}, {panel(['p_type'])}"

@@ -101,6 +101,12 @@ def test_header_columns_and_skip(spark):
     assert reshape.unpivot_by_header(g, 0).count() == 2
 
 
+def test_pick_columns(spark):
+    g = grid(spark, {"s": [["a", "", "c"], ["x"]]})
+    got = reshape.pick_columns(g, ["row_idx"], {"last": 2, "second": 1}).orderBy("row_idx")
+    assert [tuple(r) for r in got.collect()] == [(0, "c", None), (1, None, None)]
+
+
 def test_pivot_of_unpivot_is_identity(spark):
     rnd = random.Random(3)
     data = [(i, *[rnd.choice([None, float(rnd.randint(0, 9))]) for _ in range(3)]) for i in range(50)]
