@@ -121,12 +121,8 @@ def _member(name: Column, ref: Column) -> Column:
     return F.struct(name.alias("group_name"), ref.alias("series_ref"))
 
 
-def group_cells(
-    spark: SparkSession, sf_dir: str, subgroups: bool = True,
-    ordinals: Sequence[int] | None = None, parts: Column | None = None,
-) -> DataFrame:
-    """value and quantity of the total, the groups and (optionally) the subgroups."""
-    keys = ["p_type", "p_brand"] if subgroups else ["p_type"]
+def group_members(cells: DataFrame, subgroups: bool = True) -> DataFrame:
+    """Cells by type and brand as the total, the groups and (optionally) the subgroups."""
     entries = [
         _member(F.lit(TOTAL_NAME), F.lit("TOTAL")),
         _member(F.concat("p_type", F.lit(" group")), group_ref()),
@@ -135,35 +131,47 @@ def group_cells(
         entries.append(_member(
             F.concat("p_type", F.lit(" / "), "p_brand"), F.concat(group_ref(), F.col("p_brand"))
         ))
-    return with_levels(sales_cells(spark, sf_dir, keys, ordinals, parts), entries)
+    return with_levels(cells, entries)
+
+
+def group_cells(
+    spark: SparkSession, sf_dir: str, subgroups: bool = True,
+    ordinals: Sequence[int] | None = None, parts: Column | None = None,
+) -> DataFrame:
+    keys = ["p_type", "p_brand"] if subgroups else ["p_type"]
+    return group_members(sales_cells(spark, sf_dir, keys, ordinals, parts), subgroups)
 
 
 def group_panel(
     spark: SparkSession, sf_dir: str, subgroups: bool = True,
     ordinals: Sequence[int] | None = None, parts: Column | None = None,
 ) -> DataFrame:
-    """The same members, each an indexed series."""
+    """Total, groups and (optionally) subgroups, each an indexed series."""
     return index_panel(group_cells(spark, sf_dir, subgroups, ordinals, parts), ["group_name"])
 
 
+def region_members(cells: DataFrame) -> DataFrame:
+    """Cells by region as the regions and the national total."""
+    return with_levels(cells, [
+        F.struct(F.col("r_name").alias("region")), F.struct(F.lit(NATIONAL).alias("region"))
+    ])
+
+
 def region_panel(spark: SparkSession, sf_dir: str, ordinals: Sequence[int] | None = None) -> DataFrame:
-    """Regions and the national total."""
-    entries = [F.struct(F.col("r_name").alias("region")), F.struct(F.lit(NATIONAL).alias("region"))]
-    cells = with_levels(sales_cells(spark, sf_dir, ["r_name"], ordinals), entries)
-    return index_panel(cells, ["region"])
+    return index_panel(region_members(sales_cells(spark, sf_dir, ["r_name"], ordinals)), ["region"])
 
 
 def type_panel(spark: SparkSession, sf_dir: str, ordinals: Sequence[int] | None = None) -> DataFrame:
     return index_panel(sales_cells(spark, sf_dir, ["p_type"], ordinals), ["p_type"])
 
 
-def wide_series(spark: SparkSession, sf_dir: str, by: Sequence[str] = ()) -> DataFrame:
-    """One row per (by, quarter): index, qoq and yoy of both components and their total."""
+def wide_of(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Cells by component as one row per (by, quarter): index, qoq and yoy of both components
+    and their total."""
     entries = [
         F.struct(F.col("component").alias("series")), F.struct(F.lit(COMPONENTS[2]).alias("series"))
     ]
-    cells = with_levels(sales_cells(spark, sf_dir, [*by, "component"]), entries, by)
-    panel = index_panel(cells, [*by, "series"])
+    panel = index_panel(with_levels(cells, entries, by), [*by, "series"])
     names = {"index": "index_value", "qoq_pct": "qoq", "yoy_pct": "yoy"}
     return panel.groupBy(*by, "ordinal").agg(*[
         F.max(F.when(F.col("series") == c, F.col(source))).alias(f"{c}_{name}")
@@ -171,6 +179,10 @@ def wide_series(spark: SparkSession, sf_dir: str, by: Sequence[str] = ()) -> Dat
     ])
 
 
+def wide_series(spark: SparkSession, sf_dir: str, by: Sequence[str] = ()) -> DataFrame:
+    return wide_of(sales_cells(spark, sf_dir, [*by, "component"]), by)
+
+
 def national_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide series as a panel of one named series."""
     return wide_series(spark, sf_dir).withColumn("series", F.lit(TOTAL_NAME))

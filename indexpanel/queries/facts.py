@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from indexpanel.functions.text import TOTAL_NAME
 from indexpanel.operators import decompose, quality, star
+from indexpanel.operators.series import index_panel
 from indexpanel.plans import sales_panel as sp
 from indexpanel.plans.materialize import materialize
 from indexpanel.queries.base import (
@@ -131,13 +132,15 @@ SELECT 'rows ' || t AS "check", CAST(n AS BIGINT) AS n,
 UNION ALL {CHECKS}""")
 def star_report(spark, sf):
     """The star built from the sales panels, and its verification."""
-    names = {"index_value": "cpi_index", "qoq": "qoq_pct_change", "yoy": "yoy_pct_change"}
-    regional = sp.with_period(sp.region_panel(spark, sf)).withColumnsRenamed(names)
-    groups = sp.with_period(sp.group_panel(spark, sf)).withColumnsRenamed(
-        {"qoq": "qoq_pct_change", "yoy": "yoy_pct_change"}
+    # One pass over the line items feeds all three panels; each panel is read by many checks.
+    # Both are written once, as the stored star would be.
+    cells = materialize(sp.sales_cells(spark, sf, ["p_type", "p_brand", "component", "r_name"]))
+    changes = {"qoq": "qoq_pct_change", "yoy": "yoy_pct_change"}
+    groups = index_panel(sp.group_members(cells), ["group_name"]).withColumnsRenamed(changes)
+    regional = index_panel(sp.region_members(cells), ["region"]).withColumnsRenamed(
+        {"index_value": "cpi_index", **changes}
     )
-    # Each panel is read by many checks: written once, like the stored star would be.
-    panels = [materialize(p) for p in (sp.with_period(sp.wide_series(spark, sf)), groups, regional)]
+    panels = [materialize(sp.with_period(p)) for p in (sp.wide_of(cells), groups, regional)]
     regions = sp.table(spark, sf, "region").agg((F.count("*") + 1).alias("expected"))
     expected = regions.select(F.lit("dim_region").alias("table_name"), "expected")
     return star.verify_star(star.build_star(*panels), expected)
