@@ -23,10 +23,11 @@ def expect_counts(counts: DataFrame, expected: DataFrame) -> DataFrame:
     """Counts beside expectations (table_name, expected): OK, or EXPECTED n."""
     wanted = F.coalesce(F.col("expected").cast("string"), F.lit("nothing"))
     ok = F.col("n_rows").eqNullSafe(F.col("expected"))
+    numbers = [c for c in counts.columns if c != "table_name"]
     return (
         counts.unionByName(expected, allowMissingColumns=True)
         .groupBy("table_name")
-        .agg(F.max("n_rows").alias("n_rows"), F.max("expected").alias("expected"))
+        .agg(*[F.max(c).alias(c) for c in (*numbers, "expected")])
         .filter(F.col("n_rows").isNotNull())
         .withColumn("status", F.when(ok, "OK").otherwise(F.concat(F.lit("EXPECTED "), wanted)))
     )
@@ -93,6 +94,18 @@ def pk_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
+def key_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """table_name, n_rows, n_duplicates (keys that repeat): one aggregation by key per table."""
+    parts = [
+        df.groupBy(*keys).agg(F.count("*").alias("n")).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+            F.count_if(F.col("n") > 1).alias("n_duplicates"),
+        ).select(F.lit(t).alias("table_name"), "n_rows", "n_duplicates")
+        for t, (df, keys) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose key no parent has; a NULL key refers to nothing and is no orphan."""
     keys = parent.select(F.col(parent_key).alias("__key")).distinct()

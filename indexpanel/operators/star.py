@@ -67,17 +67,21 @@ def build_star(series: DataFrame, groups: DataFrame, regional: DataFrame) -> dic
 
 def verify_star(tables: Mapping[str, DataFrame], expected: DataFrame) -> DataFrame:
     """One report: row counts, duplicate keys and orphans; check, n, status."""
-    counts = quality.expect_counts(quality.row_counts(tables), expected).select(
+    counted = quality.key_counts({t: (tables[t], keys) for t, keys in KEYS.items()})
+    checked = quality.expect_counts(counted, expected)
+
+    def broken(check, n):
+        status = F.when(n == 0, "OK").otherwise("BROKEN")
+        return F.struct(check.alias("check"), n.alias("n"), status.alias("status"))
+
+    rows = F.struct(
         F.concat(F.lit("rows "), "table_name").alias("check"), F.col("n_rows").alias("n"), "status"
     )
-    broken = {
-        f"duplicate keys {t}": quality.pk_duplicates(tables[t], keys) for t, keys in KEYS.items()
-    } | {
+    repeats = broken(F.concat(F.lit("duplicate keys "), "table_name"), F.col("n_duplicates"))
+    lost = quality.row_counts({
         f"orphans {fact} {key}": quality.orphans(tables[fact], tables[dim], key, key)
         for fact, dim, key in REFERENCES
-    }
-    zero = quality.row_counts(broken).select(
-        F.col("table_name").alias("check"), F.col("n_rows").alias("n"),
-        F.when(F.col("n_rows") == 0, "OK").otherwise("BROKEN").alias("status"),
+    })
+    return checked.select(F.inline(F.array(rows, repeats))).unionByName(
+        lost.select(F.inline(F.array(broken(F.col("table_name"), F.col("n_rows")))))
     )
-    return counts.unionByName(zero)
