@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """mapInArrow with a function of this package; the first call of an application sends the package to its executors."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        target = os.path.join(tempfile.mkdtemp(prefix="llm-code-"), "package")
+        context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(fn, schema)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes the files of materialized tables that no later read needs."""
     for table in tables:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexpanel.llm import quality_rules
+from indexpanel.llm import histogram_sort, near_dedup, quality_rules, residual_packing
 from indexpanel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,45 @@ SELECT doc_id, n_words, m.word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
        NOT base_failed AND {_ACCEPTED.replace('coalesce(', 'coalesce(m.')} AS kept
 FROM m LEFT JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
 """
+
+
+@query
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under 4-word shingles and a similarity of at least 0.8."""
+    rows = near_dedup.grouped(table(spark, sf_dir, "documents"), size=4, percent=80)
+    return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+ORACLES["op9_near_dedup"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+      FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS shingles FROM w),
+n AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles FROM s),
+e AS MATERIALIZED (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM e x JOIN e y USING (shingle) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM pair JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * i >= 80 * (na.n_shingles + nb.n_shingles - i)),
+sym AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.a, s.b FROM reach r JOIN sym s ON r.b = s.a)
+SELECT n.doc_id, n_shingles, min(b) AS component_id, n.doc_id = min(b) AS kept FROM n JOIN reach ON n.doc_id = a GROUP BY n.doc_id, n_shingles
+"""
+
+
+@query
+def op4_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards of near equal bytes; equal texts lie side by side."""
+    rows = histogram_sort.sharded(table(spark, sf_dir, "documents"), shards=24)
+    return rows.select(F.col("row.doc_id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"),
+                       F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens."""
+    pieces = residual_packing.pieces(table(spark, sf_dir, "documents"), length=2048)
+    return residual_packing.placed(pieces, length=2048).select(
+        F.col("id").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"),
+        F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
