@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACES = " \t\n\v\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -36,7 +37,7 @@ def materialize(df: DataFrame) -> DataFrame:
 _shipped: set[str] = set()
 
 
-def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
     """mapInArrow with a function of this package; the first call of an application sends the package to its executors."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
