@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indexpanel.llm import setsketch
-from indexpanel.llm.common import map_arrow, materialize, quoted
+from indexpanel.llm.common import map_arrow, materialize, packed, quoted, unpacked
 from indexpanel.llm.components import components
 from indexpanel.llm.word_hash import batches_by_bytes, byte_values, hashed_words, mix
 
@@ -63,7 +63,7 @@ def shingle_sets(texts: list[bytes | None], size: int) -> tuple[np.ndarray, np.n
     return shingles[kept], owner[kept]
 
 
-SIGNATURE = "id long, text_hash long, n int, set_hash binary, registers binary"
+SIGNATURE = "row long, id long, text_hash long, n int, set_hash binary, registers binary"
 
 
 def _signatures(size: int):
@@ -79,9 +79,9 @@ def _sketched(rows: pa.RecordBatch, shingles: np.ndarray, owner: np.ndarray) ->
     sets = np.split(shingles, np.cumsum(n)[:-1])
     found = setsketch.registers(shingles, owner, rows.num_rows)
     return pa.RecordBatch.from_arrays([
-        rows.column("id"), rows.column("text_hash"), pa.array(n, pa.int32()),
+        rows.column("row"), rows.column("id"), rows.column("text_hash"), pa.array(n, pa.int32()),
         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-        pa.array([r.tobytes() for r in found], pa.binary())], names=["id", "text_hash", "n", "set_hash", "registers"])
+        pa.array([r.tobytes() for r in found], pa.binary())], names=["row", "id", "text_hash", "n", "set_hash", "registers"])
 
 
 def _sets(size: int):
@@ -134,15 +134,18 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     return likely.join(full("a"), "a").join(full("b"), "b").where(100 * both >= percent * union).select("a", "b")
 
 
-def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80) -> DataFrame:
-    """One row per row of docs: id, text_hash, n_shingles, component (least node), component_id (least id), n_nodes.
+def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80,
+            number: str | None = None) -> DataFrame:
+    """One row per row of docs: row, id, text_hash, n_shingles, component, component_id (its least id), is_first.
 
-    The node is a number for the row's set; rows of one component have the same component number, also without ids.
+    row is the column `number`, or else a number given here; component is the same number for all rows of a component,
+    also without ids; is_first marks one row of each, that of the least id.
     """
-    source = docs.select(F.col(quoted(id)).alias("id"), F.col(quoted(text)).alias("text"))
-    source = source.select("id", F.xxhash64("text").alias("text_hash"), "text")
-    signed = materialize(map_arrow(source, _signatures(size), SIGNATURE)
-                         .select(F.monotonically_increasing_id().alias("row"), "*"))
+    row = F.col(quoted(number)) if number else F.lit(None).cast("long")
+    source = docs.select(row.alias("row"), F.col(quoted(id)).alias("id"), F.col(quoted(text)).alias("text"))
+    source = source.select("row", "id", F.xxhash64("text").alias("text_hash"), "text")
+    signed = map_arrow(source, _signatures(size), SIGNATURE)
+    signed = materialize(signed.withColumn("row", F.coalesce("row", F.monotonically_increasing_id())))
     signed_rows = signed.select("row", "id", "text_hash", "n", "set_hash")
     filled = signed.where("n > 0")
     first = F.min(F.struct("row", "id", "text_hash", "n", "registers")).alias("x")
@@ -196,6 +199,17 @@ def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
         (F.col("row") == F.col("first.row")).alias("is_first"))
 
 
+def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one row of each component, the one with the least id; rows with an empty set all stay.
+
+    The rows are written with a number first, so that equal rows can be told apart.
+    """
+    numbered = materialize(packed(docs, number=F.monotonically_increasing_id()))
+    rows = numbered.select("number", F.col("row")[id].alias("id"), F.col("row")[text].alias("text"))
+    kept = grouped(rows, "id", "text", size, percent, number="number").where("is_first").select(F.col("row").alias("kept"))
+    return unpacked(numbered.join(materialize(kept), F.col("number") == F.col("kept"), "left_semi"), docs.columns)
+
+
 def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
     """key, node, component of the buckets that still have members in different components."""
     named = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))

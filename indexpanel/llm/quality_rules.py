@@ -163,9 +163,11 @@ def judged(docs: DataFrame, lang: str = "lang", source: str = "source", text: st
     keys = thresholds.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = rows.join(keys, F.col("row")[lang].eqNullSafe(F.col("_lang")) & F.col("row")[source].eqNullSafe(F.col("_source")),
                        "left")
-    accepted = ~F.col("base_failed")
+    # One sum instead of a conjunction: a filter on `kept` then stays above the join. Pushed below it, a term would take
+    # the expressions of all columns that lead to it along, each as often as it is used.
+    faults = F.col("base_failed").cast("int")
     for name in RULES:
         fence = F.col(f"fence_{name}")
         for bad in (F.col(name) < fence["low"], F.col(name) > fence["high"]):
-            accepted = accepted & ~F.coalesce(bad, F.lit(False))
-    return joined.select("row", *counts, "base_failed", *RULES, accepted.alias("kept"))
+            faults = faults + F.coalesce(bad.cast("int"), F.lit(0))
+    return joined.select("row", *counts, "base_failed", *RULES, (faults == 0).alias("kept"))

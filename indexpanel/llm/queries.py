@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from indexpanel.llm import (
     histogram_sort,
+    mixing,
     near_dedup,
     prefix_targets,
     quality_rules,
@@ -177,3 +178,11 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(coalesce(sum(upto) FILTER (role = 'assistant'), 0) + coalesce(sum(chars) FILTER (last IS NULL OR k > last), 0) AS BIGINT) AS formatted_chars
 FROM s GROUP BY conv_id
 """
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked weight, sampling probability and decision of every document."""
+    rows = mixing.mixed(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("row.doc_id").alias("doc_id"), "topic", "tokens", F.round("weight", 6).alias("weight"),
+                       F.round("p", 6).alias("p"), "kept")

@@ -37,7 +37,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 BARE = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
 # True of every text with a candidate, and of few others; the scan leaves all other texts in the JVM.
 MAYBE = r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24}|[a-z0-9+/_-]{24}"
-FOUND = T.StructType.fromDDL("found array<struct<kind:int,start:int,end:int,from:int,hash:string>>")
+FOUND = T.StructType([T.StructField("found", T.ArrayType(T.StructType([
+    T.StructField("kind", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
+    T.StructField("from", T.IntegerType()), T.StructField("hash", T.StringType())])))])
 
 
 def candidates(text: str) -> list[tuple[int, int, int, int, str]]:
