@@ -15,6 +15,7 @@ from indexpanel.llm import (
     quality_rules,
     residual_packing,
     secret_ownership,
+    weighted_sampling,
 )
 from indexpanel.llm.common import table
 
@@ -186,3 +187,9 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mixed(table(spark, sf_dir, "documents"))
     return rows.select(F.col("row.doc_id").alias("doc_id"), "topic", "tokens", F.round("weight", 6).alias("weight"),
                        F.round("p", 6).alias("p"), "kept")
+
+
+@query
+def op3_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and likeness to that and to the next document."""
+    return weighted_sampling.compared(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
