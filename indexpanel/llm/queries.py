@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indexpanel.llm import (
+    dom_crf,
     histogram_sort,
     mixing,
     near_dedup,
@@ -193,3 +194,9 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, and likeness to that and to the next document."""
     return weighted_sampling.compared(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_dom_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return dom_crf.extracted(table(spark, sf_dir, "pages"))
