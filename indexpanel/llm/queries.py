@@ -15,6 +15,7 @@ from indexpanel.llm import (
     prefix_targets,
     quality_rules,
     residual_packing,
+    revisits,
     secret_ownership,
     weighted_sampling,
 )
@@ -200,3 +201,52 @@ def op3_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_dom_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return dom_crf.extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits of the crawl history of all pages, resolved to their stored responses."""
+    found = revisits.resolved(revisits.captures_of(table(spark, sf_dir, "pages")))
+    text = F.array_join(F.transform("headers", lambda h: F.concat_ws(": ", h["name"], h["value"])), "\n")
+    return found.select("record_id", "url", "ts", "verdict", "refers_to", "digest", text.alias("headers"))
+
+
+def _capture_sql(n: int, days: int, kind: str, etag: str, modified: str, digest: str, headers: str, where: str) -> str:
+    return (f"SELECT url, page_id * 8 + {n} AS record_id, {days * 86_400} + page_id % 86400 AS ts, '{kind}' AS kind, {etag} AS etag, "
+            f"{modified} AS last_modified, {digest} AS digest, {headers} AS headers FROM p WHERE {where}")
+
+
+_FULL = ("['cache-control: max-age=60', 'content-length: ' || size, 'content-type: text/html', 'date: day 10', 'set-cookie: a=1']")
+_FRESH = "['cache-control: max-age=600', 'date: day 40', 'x-cache: hit']"
+_CAPTURES = " UNION ALL ".join(_capture_sql(*c) for c in (
+    (0, 5, "revisit", "old", "NULL", "NULL", _FRESH, "page_id % 10 = 0"),
+    (1, 10, "response", "old", "'day 9'", "old", _FULL, "true"),
+    (2, 40, "revisit", "old", "NULL", "NULL", _FRESH, "true"),
+    (3, 70, "response", "new", "'day 69'", "new", _FULL, "page_id % 3 = 0"),
+    (3, 70, "revisit", "'stale'", "'day 9'", "NULL", _FRESH, "page_id % 3 = 1"),
+    (3, 70, "revisit", "NULL", "'day 9'", "NULL", "['expires: never']", "page_id % 3 = 2"),
+    (4, 100, "revisit", "NULL", "NULL", "CASE WHEN page_id % 3 = 0 THEN new ELSE old END", _FRESH, "true"),
+    (5, 110, "revisit", "NULL", "NULL", "NULL", _FRESH, "page_id % 7 = 0")))
+
+ORACLES["op8_revisits"] = rf"""
+WITH u AS (SELECT *, regexp_replace(regexp_replace(trim(coalesce(url, '')), '^[a-zA-Z][a-zA-Z0-9+.-]*://', ''), '#.*$', '') AS x FROM pages),
+q AS (SELECT *, list_sort(list_filter(string_split(regexp_extract(x, '\?(.*)$', 1), '&'),
+        lambda v: v <> '' AND NOT regexp_matches(v, '{revisits.TRACKING}'))) AS kept FROM u),
+p AS (SELECT page_id, regexp_replace(regexp_replace(lower(regexp_extract(x, '^[^/?]*')), '^(www\d*|m)\.', ''), ':(80|443)$', '')
+        || regexp_replace(regexp_extract(x, '^[^/?]*([^?]*)', 1), '/+$', '')
+        || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url,
+        md5(coalesce(html, '')) AS old, md5(coalesce(html, '') || '<!-- 2 -->') AS new,
+        CAST(strlen(coalesce(html, '')) AS VARCHAR) AS size FROM q),
+c AS ({_CAPTURES}),
+j AS (SELECT c.*, r.record_id AS rid, r.etag AS re, r.last_modified AS rm, r.digest AS rd, r.headers AS rh FROM c
+  LEFT JOIN (SELECT * FROM c WHERE kind = 'response') r ON r.url = c.url AND r.ts < c.ts WHERE c.kind = 'revisit'
+  QUALIFY row_number() OVER (PARTITION BY c.record_id, c.url, c.ts ORDER BY r.ts DESC NULLS LAST, r.record_id DESC) = 1),
+v AS (SELECT *, coalesce(etag = re, last_modified = rm, digest = rd) AS same,
+        list_transform(headers, lambda h: string_split(h, ':')[1]) AS names FROM j)
+SELECT record_id, url, CAST(ts AS BIGINT) AS ts,
+  CASE WHEN rid IS NULL THEN 'orphan' WHEN same IS NULL THEN 'unchecked' WHEN same THEN 'resolved' ELSE 'mismatch' END AS verdict,
+  CASE WHEN same THEN rid END AS refers_to, CASE WHEN same THEN rd END AS digest,
+  CASE WHEN same THEN array_to_string(list_sort(list_concat(
+    list_filter(rh, lambda h: NOT list_contains(names, string_split(h, ':')[1])), headers)), chr(10)) END AS headers
+FROM v
+"""
