@@ -7,8 +7,8 @@ below the threshold are dropped, the others are confirmed on their full sets of
 
 A bucket (equal registers in a band) of g nodes never becomes g^2 pairs: its members are first compared with one member,
 then with another one of each bucket that is still open; linked nodes form components, and only nodes that are
-still in different components of their bucket are compared one by one. So copies cost one comparison each, no link
-between components is lost, and no bucket is capped.
+still in different components of their bucket and share enough shingles with others to have a link at all are compared
+one by one, inside the join. So copies cost one comparison each, no link between components is lost, no bucket is capped.
 
 Defined results: null text and text without words have an empty set and are linked with nothing; a text shorter than a
 shingle is one shingle; rows with a null id belong to components but give them no id; repeated rows are copies; empty
@@ -175,15 +175,7 @@ def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
         pairs = (open_members.join(centre, "key").where(F.col("component") != F.col("c.component"))
                  .select(F.col("node").alias("x"), F.col("c.node").alias("y")))
         links = materialize(links.unionAll(_verified(pairs_of(pairs), candidates, sets, percent)))
-    open_members = materialize(_open(members, components(links)).join(candidates.select("node", "n"), "node"))
-    sizes = open_members.groupBy("key", "component").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("largest"))
-    minor = (open_members.join(largest, "key").where("component <> largest")
-             .select("key", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx")))
-    other = open_members.select("key", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"))
-    apart = (minor.join(other, "key").where("cx <> cy")
-             .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")))
-    links = materialize(links.unionAll(_verified(pairs_of(apart), candidates, sets, percent)))
+    links = materialize(links.unionAll(_across(materialize(_open(members, components(links))), sets, percent)))
 
     parts = components(links)
     labelled = (nodes.select("node", "set_hash").join(parts, "node", "left")
@@ -210,6 +202,33 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", size:
     return unpacked(numbered.join(materialize(kept), F.col("number") == F.col("kept"), "left_semi"), docs.columns)
 
 
+def _across(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of one bucket that are still in different components, confirmed on their full sets.
+
+    Only shingles that two open nodes have can be in an intersection, so their number bounds it: nodes and pairs whose
+    bound is too low are left out first. The confirmation is the condition of the join, so only links come out of it.
+    """
+    opened = sets.join(open_members.select("node").distinct(), "node", "left_semi")
+    alone = (opened.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+             .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1").groupBy("node").agg(F.count("*").alias("own")))
+    able = (opened.join(alone, "node", "left")
+            .select("node", "shingles", F.size("shingles").alias("n"), (F.size("shingles") - F.coalesce("own", F.lit(0))).alias("most"))
+            .where(100 * F.col("most") >= percent * F.col("n")))
+    rows = open_members.join(able, "node")
+    sizes = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
+    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("largest"))
+    minor = rows.join(largest, "key").where("component <> largest")
+    x = minor.select("key", *[F.col(c).alias(f"{c}_x") for c in ("node", "component", "n", "most", "shingles")])
+    y = rows.select("key", *[F.col(c).alias(f"{c}_y") for c in ("node", "component", "n", "most", "shingles")])
+    bound = F.least("most_x", "most_y")
+    both = F.size(F.array_intersect("shingles_x", "shingles_y"))
+    linked = F.when((F.col("component_x") != F.col("component_y"))
+                    & ((100 + percent) * bound >= percent * (F.col("n_x") + F.col("n_y"))),
+                    (100 + percent) * both >= percent * (F.col("n_x") + F.col("n_y")))
+    found = x.join(y, (x["key"] == y["key"]) & linked)
+    return found.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
 def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
     """key, node, component of the buckets that still have members in different components."""
     named = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
