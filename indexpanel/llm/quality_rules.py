@@ -152,7 +152,7 @@ def fences(sketch: DataFrame, support: int = SUPPORT) -> DataFrame:
 def judged(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text",
            support: int = SUPPORT) -> DataFrame:
     """Every row as the struct `row`, with the base counts, base_failed, the ratios, and kept."""
-    thresholds = materialize(fences(sketches(docs, lang, source, text), support))
+    thresholds = materialize(fences(materialize(sketches(docs, lang, source, text)), support))
     body = F.col("row")[text]
     rows = packed(docs, **cheap_counts(F.col(quoted(text))))
     rows = with_repeat_words(rows, body, "n_repeat_words")
