@@ -182,7 +182,9 @@ def compared(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = K
         return spark.createDataFrame([], RESULT)
     before = [(heads[i - 1].part, None if h.h.down is None else -h.h.down, h.h.hash) for i, h in enumerate(heads)]
     serve = spark.createDataFrame(before, "serves int, head_id long, head_hash long")
-    ahead = (rows.join(serve, F.col("id").eqNullSafe(F.col("head_id")) & (F.col("hash") == F.col("head_hash")))
+    # Filtered by the few ids before the join, so that no other text is shuffled for it.
+    few = F.col("id").isin([i for _, i, _ in before if i is not None]) | (F.col("id").isNull() & F.lit(None in [i for _, i, _ in before]))
+    ahead = (rows.where(few).join(serve, F.col("id").eqNullSafe(F.col("head_id")) & (F.col("hash") == F.col("head_hash")))
              .select(F.col("serves").alias("part"), "id", "hash", "text").dropDuplicates(["part"]))
     both = rows.withColumn("ahead", F.lit(False)).unionByName(ahead.withColumn("ahead", F.lit(True)))
     dealt = both.repartition(max(ranges, 1), "part").sortWithinPartitions(
