@@ -13,15 +13,22 @@ NUMBER_PATTERN = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|i
 
 
 def round_half_up(c: Column, digits: int = 0) -> Column:
-    """Half away from zero on DOUBLE, with the same IEEE steps in any engine; never -0.0."""
-    scale = float(10**digits)
+    """Half away from zero, by the decimal digits a DOUBLE is printed with; NaN and infinities stay, never -0.0."""
+    return F.round(c.cast("double"), digits) + F.lit(0.0)
+
+
+def exact(c: Column, digits: int = 6) -> Column:
+    """DECIMAL whose sum doesn't depend on the order of additions; NULL for NaN, infinities and values beyond 10^31."""
     d = c.cast("double")
-    return F.signum(d) * F.floor(F.abs(d) * scale + 0.5) / scale + F.lit(0.0)
+    return F.when(F.abs(d) < 1e31, round_half_up(d, digits).try_cast(f"decimal(38,{digits})"))
 
 
 def minor_units(c: Column) -> Column:
-    """A two-decimal DOUBLE as BIGINT hundredths: exact, order-independent and cheap to sum."""
-    return F.floor(c * 100 + 0.5).cast("bigint")
+    """A two-decimal DOUBLE as BIGINT hundredths: exact, order-independent and cheap to sum.
+
+    NULL for NaN, infinities and amounts from 9e16, which quality.unusable_amounts counts.
+    """
+    return F.when(F.abs(c) < 9e16, F.rint(c * 100).cast("bigint"))
 
 
 def from_minor_units(c: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from indexpanel.functions.numbers import round_half_up
+from indexpanel.functions.numbers import exact, round_half_up
 from indexpanel.functions.text import compare_band
 
 
@@ -34,24 +34,36 @@ def member_value(value: str, member: str, which: str, by: Sequence[str]) -> Colu
     return F.max(F.when(F.col(member) == which, F.col(value))).over(W.partitionBy(*by))
 
 
+def member_rows(
+    df: DataFrame, value: str, member: str, references: Mapping[str, str], by: Sequence[str], required: bool = False
+) -> DataFrame:
+    """One row per period: the values of named members, {output column: member}, aggregated before they are joined.
+
+    `required` leaves out periods in which one of them is missing.
+    """
+    found = df.filter(F.col(member).isin(*references.values())).groupBy(*by).agg(
+        *[F.max(F.when(F.col(member) == m, F.col(value))).alias(n) for n, m in references.items()],
+        *[F.count_if(F.col(member) == m).alias(f"__has_{n}") for n, m in references.items()],
+    )
+    for n in references if required else ():
+        found = found.filter(F.col(f"__has_{n}") > 0)
+    return found.select(*by, *references)
+
+
 def vs_members(
     df: DataFrame, value: str, member: str, references: Mapping[str, str], by: Sequence[str],
     digits: int = 2, required: bool = False,
 ) -> DataFrame:
     """Difference (points) from named members: {output column: member}.
 
-    `required` drops periods in which a reference member is missing, as an inner join would.
+    `required` drops periods in which a reference member is missing. Its values are one row per period, joined back, so
+    no task holds a whole period.
     """
-    refs = {f"__{n}": member_value(value, member, m, by) for n, m in references.items()}
-    present = {
-        f"__has_{n}": F.max(F.col(member) == m).over(W.partitionBy(*by)) for n, m in references.items()
-    } if required else {}
-    out = df.withColumns({**refs, **present})
-    for flag in present:
-        out = out.filter(flag)
+    refs = member_rows(df, value, member, {f"__{n}": m for n, m in references.items()}, by, required)
+    out = df.join(refs, list(by), "inner" if required else "left").select(*df.columns, *[f"__{n}" for n in references])
     return out.withColumns({
         n: round_half_up(F.col(value) - F.col(f"__{n}"), digits) for n in references
-    }).drop(*refs, *present)
+    }).drop(*[f"__{n}" for n in references])
 
 
 def vs_level(
@@ -68,8 +80,8 @@ def vs_level(
 def persistence(df: DataFrame, member: str, value: str, reference: str) -> DataFrame:
     """Per member: periods seen, periods above the reference, mean value."""
     above = F.when(F.col(value) > F.col(reference), 1).otherwise(0)
-    exact = round_half_up(F.col(value), 6).cast("decimal(18,6)")
-    mean = F.try_divide(F.sum(exact).cast("double"), F.count(value).cast("double"))
+    usable = exact(F.col(value))
+    mean = F.try_divide(F.sum(usable).cast("double"), F.count(usable).cast("double"))
     return df.groupBy(member).agg(
         F.count("*").alias("periods"),
         F.sum(above).cast("bigint").alias("periods_above"),
@@ -79,9 +91,9 @@ def persistence(df: DataFrame, member: str, value: str, reference: str) -> DataF
 
 def persistent_above(
     df: DataFrame, member: str, value: str, reference: str, periods: DataFrame | None = None,
-    period: str = "period", min_periods: int | None = None,
+    period: str = "period", min_periods: int | None = None, share: float = 1.0,
 ) -> DataFrame:
-    """Members above the reference in all periods, or in at least `min_periods`.
+    """Members above the reference in all periods, in that `share` of them, or in at least `min_periods`.
 
     The number of periods is counted in `periods` (a period dimension), else in `df`.
     """
@@ -89,7 +101,7 @@ def persistent_above(
     if min_periods is not None:
         return per.filter(F.col("periods_above") >= min_periods)
     total = (df if periods is None else periods).agg(F.count_distinct(period)).scalar()
-    return per.filter(F.col("periods_above") == total)
+    return per.filter(F.col("periods_above") >= F.lit(share) * total)
 
 
 def spread(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from indexpanel.functions.numbers import round_half_up
+from indexpanel.functions.numbers import exact, round_half_up
 
 
 def with_lookup(
@@ -39,7 +39,7 @@ def weights_total(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Sum of the weights, distance from 100, and whether it is tolerable."""
-    total = F.sum(round_half_up(F.col(weight), 6).cast("decimal(18,6)")).cast("double")
+    total = F.sum(exact(F.col(weight))).cast("double")
     return weights.groupBy(*by).agg(F.count("*").alias("members"), total.alias("__total")).select(
         *by, "members",
         round_half_up(F.col("__total"), 2).alias("total"),
@@ -58,8 +58,8 @@ def contribution(
     """
     points = round_half_up(F.col(change) * F.col(weight) / 100, digits)
     out = df.withColumn("contribution_pp", points)
-    exact = F.sum(F.col("contribution_pp").cast(f"decimal(18,{digits})")).over(W.partitionBy(*by))
-    out = out.withColumn("total_pp", exact.cast("double"))
+    total = F.sum(exact(F.col("contribution_pp"), digits)).over(W.partitionBy(*by))
+    out = out.withColumn("total_pp", total.cast("double"))
     if headline:
         out = out.withColumn("residual", round_half_up(F.col(headline) - F.col("total_pp"), digits))
     return out
@@ -69,7 +69,7 @@ def contribution_share(
     df: DataFrame, change: str, weight: str, by: Sequence[str], digits: int = 1
 ) -> DataFrame:
     """Each member's part of the total change, in percent, from the unrounded points."""
-    points = round_half_up(F.col(change) * F.col(weight) / 100, 6).cast("decimal(18,6)")
+    points = exact(F.col(change) * F.col(weight) / 100)
     total = F.sum(points).over(W.partitionBy(*by))
     share = F.try_divide(points.cast("double"), total.cast("double")) * 100
     return df.withColumn("share_pct", round_half_up(share, digits))
@@ -82,24 +82,15 @@ def waterfall(df: DataFrame, by: Sequence[str], member: str) -> DataFrame:
         .orderBy(F.col("contribution_pp").desc_nulls_last(), F.col(member))
         .rowsBetween(W.unboundedPreceding, 0)
     )
-    exact = F.coalesce(F.col("contribution_pp"), F.lit(0.0)).cast("decimal(18,2)")
-    end = F.sum(exact).over(w)
+    step = F.coalesce(exact(F.col("contribution_pp"), 2), F.lit(0).cast("decimal(38,2)"))
+    end = F.sum(step).over(w)
     return df.withColumns({
         "bar": F.row_number().over(w).cast("bigint"),
         "bar_end": end.cast("double"),
-        "bar_start": (end - exact).cast("double"),
+        "bar_start": (end - step).cast("double"),
     })
 
 
-def hierarchy_rollup(
-    fact: DataFrame, ref: str, prefix_length: int, by: Sequence[str], measures: Sequence[str]
-) -> DataFrame:
-    """Additive measures of children summed under the parent whose ref is their prefix."""
-    return fact.groupBy(F.substring(ref, 1, prefix_length).alias(ref), *by).agg(
-        *[F.sum(m).alias(m) for m in measures]
-    )
-
-
 def rollup_check(
     fact: DataFrame, ref: str, prefix_length: int, by: Sequence[str], measures: Sequence[str]
 ) -> DataFrame:

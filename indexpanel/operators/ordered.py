@@ -1,46 +1,19 @@
 """Order-dependent carries (fill-down, sections, cut-off) that survive hot groups.
 
-A running window runs one group in one task. Where a group can be huge, the caller
-gives `chunk`: a deterministic expression that never decreases along the order (a
-truncated timestamp, row_idx div n). Groups above the hot limit are then filled chunk by
-chunk: each chunk's last value is pre-aggregated, carried across the chunk summaries, and
-enters the next chunks as one extra leading row. Light groups keep a single chunk.
+A running window runs one group in one task. Where a group can be huge, the caller gives `chunk`: a deterministic
+expression that never decreases along the order (a truncated timestamp, row_idx div n). Every group is then filled
+chunk by chunk, whatever its size: each chunk's last value is pre-aggregated, carried across the chunk summaries, and
+enters the next chunks as one extra leading row. The rows are read twice and shuffled once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1e-4
-HOT_ROWS = 1_000_000
-
-
-def hot_groups(
-    df: DataFrame, keys: Sequence[str], share: float | None = None, min_rows: int | None = None
-) -> DataFrame:
-    """Key values holding more than `share` of all rows: fewer than 1/share of them, always."""
-    share = HOT_SHARE if share is None else share
-    min_rows = HOT_ROWS if min_rows is None else min_rows
-    counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))
-    total = counts.agg(F.sum("__n")).scalar()
-    limit = F.greatest(total * F.lit(share), F.lit(float(min_rows)))
-    return counts.filter(F.col("__n") > limit).select(*keys)
-
-
-def _match_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, how: str) -> DataFrame:
-    """Joins the hot keys; at most 1/share rows whatever the data size, so they are broadcast."""
-    small = F.broadcast(hot.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.lit(True).alias("__hot")
-    ))
-    same = [df[k].eqNullSafe(small[f"__k{i}"]) for i, k in enumerate(keys)]
-    return df.join(small, reduce(and_, same), how).select(*df.columns, "__hot")
-
 
 def forward_fill(
     df: DataFrame,
@@ -48,8 +21,6 @@ def forward_fill(
     order: Sequence[str],
     partition: Sequence[str],
     chunk: Column | None = None,
-    hot_share: float | None = None,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Replace NULLs in `cols` by the last non-NULL value above them in the group."""
     if chunk is None:
@@ -58,18 +29,9 @@ def forward_fill(
         w = W.partitionBy(*partition).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
-    chunk = chunk.cast("bigint")
-    if partition:
-        hot = hot_groups(df, partition, hot_share, hot_rows)
-        all_rows = _match_hot(df, partition, hot, "left").withColumn(
-            "__chunk", F.when(F.col("__hot"), chunk).otherwise(F.lit(0).cast("bigint"))
-        )
-        hot_part = _match_hot(df, partition, hot, "inner").withColumn("__chunk", chunk)
-    else:
-        all_rows = hot_part = df.withColumn("__chunk", chunk)
-
+    rows = df.withColumn("__chunk", chunk.cast("bigint"))
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    tails = hot_part.groupBy(*partition, "__chunk").agg(
+    tails = rows.groupBy(*partition, "__chunk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in cols]
     )
     before = (
@@ -78,7 +40,7 @@ def forward_fill(
     leads = tails.select(
         *partition, "__chunk", *[F.last(c, ignorenulls=True).over(before).alias(c) for c in cols]
     )
-    both = all_rows.select(*df.columns, "__chunk", F.lit(True).alias("__body")).unionByName(
+    both = rows.withColumn("__body", F.lit(True)).unionByName(
         leads.withColumn("__body", F.lit(False)), allowMissingColumns=True
     )
     w = (
@@ -94,21 +56,22 @@ def forward_fill(
 
 
 def section_carry(
-    df: DataFrame, section: Column, name: str, order: Sequence[str], partition: Sequence[str], **skew
+    df: DataFrame, section: Column, name: str, order: Sequence[str], partition: Sequence[str], chunk: Column | None = None
 ) -> DataFrame:
     """Rows where `section` is not NULL open a section: they are dropped, the rows below get
     its value, and rows before the first one are dropped."""
     marked = df.withColumns({name: section, "__marker": section.isNotNull()})
-    filled = forward_fill(marked, [name], order, partition, **skew)
+    filled = forward_fill(marked, [name], order, partition, chunk)
     return filled.filter(F.col(name).isNotNull() & ~F.col("__marker")).drop("__marker")
 
 
 def cut_at_sentinel(
-    df: DataFrame, sentinel: Column, order: Sequence[str], partition: Sequence[str], **skew
+    df: DataFrame, sentinel: Column, order: Sequence[str], partition: Sequence[str],
+    chunk: Column | None = None,
 ) -> DataFrame:
     """Rows above the first sentinel row of each group."""
     flagged = df.withColumn("__seen", F.when(sentinel, True))
-    filled = forward_fill(flagged, ["__seen"], order, partition, **skew)
+    filled = forward_fill(flagged, ["__seen"], order, partition, chunk)
     return filled.filter(F.col("__seen").isNull()).drop("__seen")
 
 

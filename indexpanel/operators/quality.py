@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from indexpanel.functions.numbers import minor_units
+
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """table_name, n_rows: all tables in one job."""
@@ -20,7 +22,7 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def expect_counts(counts: DataFrame, expected: DataFrame) -> DataFrame:
-    """Counts beside expectations (table_name, expected): OK, or EXPECTED n."""
+    """Counts beside expectations (table_name, expected): OK, EXPECTED n, or MISSING for a table that has no count."""
     wanted = F.coalesce(F.col("expected").cast("string"), F.lit("nothing"))
     ok = F.col("n_rows").eqNullSafe(F.col("expected"))
     numbers = [c for c in counts.columns if c != "table_name"]
@@ -28,8 +30,8 @@ def expect_counts(counts: DataFrame, expected: DataFrame) -> DataFrame:
         counts.unionByName(expected, allowMissingColumns=True)
         .groupBy("table_name")
         .agg(*[F.max(c).alias(c) for c in (*numbers, "expected")])
-        .filter(F.col("n_rows").isNotNull())
-        .withColumn("status", F.when(ok, "OK").otherwise(F.concat(F.lit("EXPECTED "), wanted)))
+        .withColumn("status", F.when(F.col("n_rows").isNull(), "MISSING").when(ok, "OK")
+                    .otherwise(F.concat(F.lit("EXPECTED "), wanted)))
     )
 
 
@@ -50,7 +52,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     """Shape and NULLs per column in one pass."""
     row = df.agg(
         F.count("*").alias("n_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}__n_nulls") for c in df.columns],
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}__n_nulls") for c in df.columns],
     ).withColumn("n_columns", F.lit(len(df.columns)).cast("bigint"))
     out = _per_column(row, df.columns, ["n_nulls"], ["n_rows", "n_columns"])
     return out.withColumn("status", F.when(F.col("n_nulls") == 0, "clean").otherwise("missing values"))
@@ -58,7 +60,15 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Columns declared NOT NULL that hold NULLs."""
-    return null_profile(df.select(*cols)).filter(F.col("n_nulls") > 0).select("column_name", "n_nulls")
+    return null_profile(df.select(*[F.col(f"`{c}`") for c in cols])).filter(F.col("n_nulls") > 0).select("column_name", "n_nulls")
+
+
+def unusable_amounts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Per amount column, the values that minor_units turns into NULL: NaN, infinities, beyond its range."""
+    row = df.agg(*[
+        F.count_if(F.col(f"`{c}`").isNotNull() & minor_units(F.col(f"`{c}`")).isNull()).alias(f"{c}__n_unusable") for c in cols
+    ])
+    return _per_column(row, cols, ["n_unusable"])
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -76,8 +86,8 @@ def data_dictionary(df: DataFrame, table: str) -> DataFrame:
     """Column, type, comment, NULLs and an example (the smallest value as text)."""
     row = df.agg(*[
         a for c in df.columns for a in (
-            F.count_if(F.col(c).isNull()).alias(f"{c}__n_nulls"),
-            F.min(F.col(c)).cast("string").alias(f"{c}__example"),
+            F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}__n_nulls"),
+            F.min(F.col(f"`{c}`")).cast("string").alias(f"{c}__example"),
         )
     ])
     types = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])

@@ -7,8 +7,11 @@ or '', and is read as NULL.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from indexpanel.functions.numbers import clean_number
@@ -40,34 +43,20 @@ def pick_columns(grid: DataFrame, keep: Sequence[str], picks: Mapping[str, int])
     return grid.select(*keep, *[cell(i).alias(name) for name, i in picks.items()])
 
 
-def header_columns(grid: DataFrame, row: int) -> DataFrame:
-    """(sheet, col_idx, name) for the non-empty cells of the header row."""
-    return (
-        grid.filter(F.col("row_idx") == row)
-        .select("sheet", F.posexplode("cells").alias("col_idx", "name"))
-        .withColumn("name", F.trim("name"))
-        .filter(~F.col("name").isin(*EMPTY_HEADERS))
-    )
-
-
 def unpivot_by_header(grid: DataFrame, row: int, keep: Mapping[str, Column] | None = None) -> DataFrame:
     """Cells below the header row, one per row, named by the header cell above them.
 
-    The header travels as one array per sheet, so rows are joined, not cells.
+    The grid is read once: every cell meets the header of its own column in one window by (sheet, column).
     """
     keep = dict(keep or {})
-    header = grid.filter(F.col("row_idx") == row).select("sheet", F.col("cells").alias("__names"))
-    body = grid.filter(F.col("row_idx") > row)
-    named = body.join(header, "sheet").select(
-        "sheet", "row_idx", "__names",
-        *[c.alias(k) for k, c in keep.items()],
-        _cells(),
+    cells = grid.filter(F.col("row_idx") >= row).select(
+        "sheet", "row_idx", *[c.alias(k) for k, c in keep.items()], _cells(),
     )
+    header = F.max(F.when(F.col("row_idx") == row, F.trim("cell"))).over(W.partitionBy("sheet", "col_idx"))
     return (
-        named.withColumn("name", F.trim(F.get("__names", F.col("col_idx"))))
-        .filter(F.col("name").isNotNull() & ~F.col("name").isin(*EMPTY_HEADERS))
+        cells.withColumn("name", header)
+        .filter((F.col("row_idx") > row) & F.col("name").isNotNull() & ~F.col("name").isin(*EMPTY_HEADERS))
         .withColumn("cell", F.nullif("cell", F.lit("")))
-        .drop("__names")
     )
 
 
@@ -88,33 +77,46 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 def merge_measures(
     base: DataFrame, others: Mapping[str, DataFrame], keys: Sequence[str], measure: str
 ) -> DataFrame:
-    """Left-merge one-measure tables onto `base` (keys unique in each table).
+    """Left-merge one-measure tables onto `base`, with the number of rows that each side has for the keys.
 
     One union and one aggregation by the keys instead of a chain of joins: a single shuffle,
-    pre-aggregated, and keys that `base` lacks are dropped, as a left join would.
+    pre-aggregated, and keys that `base` lacks are dropped, as a left join would. The keys must be unique in each table:
+    `n_<measure>` counts their rows, and a count over 1 marks keys whose values can't be told apart (see `repeated`).
     """
     names = [measure, *others]
     extra = [c for c in base.columns if c not in keys and c != measure]
     parts = base.withColumn("__base", F.lit(True))
     for name, other in others.items():
-        parts = parts.unionByName(other.select(*keys, name), allowMissingColumns=True)
+        parts = parts.unionByName(other.select(*keys, name, F.lit(True).alias(f"__in_{name}")), allowMissingColumns=True)
     return (
         parts.groupBy(*keys)
-        .agg(F.max("__base").alias("__base"), *[F.max(c).alias(c) for c in [*extra, *names]])
-        .filter("__base")
-        .drop("__base")
+        .agg(
+            F.count("__base").alias(f"n_{measure}"),
+            *[F.count(f"__in_{n}").alias(f"n_{n}") for n in others],
+            *[F.max(c).alias(c) for c in [*extra, *names]],
+        )
+        .filter(F.col(f"n_{measure}") > 0)
     )
 
 
+def repeated(merged: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """The merged keys that some table has more than once: the rejects of a merge."""
+    return merged.filter(reduce(or_, [F.col(f"n_{m}") > 1 for m in measures]))
+
+
 def pivot_first(
     df: DataFrame, keys: Sequence[str], name: str, value: str, names: Sequence[str],
-    order: Sequence[str] | None = None,
+    order: Sequence[str] | None = None, other: str | None = None,
 ) -> DataFrame:
-    """Names become columns; each cell is its first non-NULL value along `order`."""
+    """Names become columns; each cell is its first non-NULL value along `order`.
+
+    Values of names that aren't listed have no column; `other` names one that counts them.
+    """
     v = F.col(value)
-    by = F.struct(*order) if order else v
+    by = v if not order else F.col(order[0]) if len(order) == 1 else F.struct(*order)
     return df.groupBy(*keys).agg(
-        *[F.min_by(v, F.when((F.col(name) == n) & v.isNotNull(), by)).alias(n) for n in names]
+        *[F.min_by(v, F.when((F.col(name) == n) & v.isNotNull(), by)).alias(n) for n in names],
+        *([F.count_if(v.isNotNull() & ~F.coalesce(F.col(name).isin(*names), F.lit(False))).alias(other)] if other else []),
     )
 
 
@@ -146,8 +148,8 @@ def tidy_panel(
 ) -> DataFrame:
     """One-measure-per-sheet panels (sheet -> measure) merged on (group_name, period).
 
-    The first sheet is the base: its members and quarters are kept. Names are unique within
-    a sheet (quality.pk_duplicates checks it).
+    The first sheet is the base: its members and quarters are kept. `n_rows` is the most rows that one sheet has for the
+    member and quarter: over 1, the name repeats, the values come from its first row, and `repeated_names` has them all.
     """
     names = list(sheets)
     used = grid.filter(F.col("sheet").isin(*names))
@@ -165,21 +167,31 @@ def tidy_panel(
     return (
         long.groupBy("group_name", F.col("name").alias("period"))
         .agg(
-            F.max(F.when(is_base, F.col("series_ref"))).alias("series_ref"),
+            F.min_by("series_ref", F.when(is_base, F.col("row_idx"))).alias("series_ref"),
             *[
                 F.min_by(value, F.when(F.col("sheet") == s, F.col("row_idx"))).alias(m)
                 for s, m in sheets.items()
             ],
+            F.greatest(*[F.count_if(F.col("sheet") == s) for s in names], F.lit(0)).alias("n_rows"),
             F.max(is_base).alias("__base"),
         )
         .filter("__base")
         .select(
             "period", parse_period(F.col("period")).alias("period_date"),
-            "group_name", "series_ref", *sheets.values(),
+            "group_name", "series_ref", *sheets.values(), "n_rows",
         )
     )
 
 
+def repeated_names(grid: DataFrame, sheets: Sequence[str], header_row: int = 6) -> DataFrame:
+    """Rows of a panel sheet whose name another row of the sheet has: what a merge by name can't tell apart."""
+    rows = grid.filter(F.col("sheet").isin(*sheets) & (F.col("row_idx") > header_row)).select(
+        "sheet", "row_idx", F.trim(cell(0)).alias("group_name"), F.trim(cell(1)).alias("series_ref"), "cells",
+    ).filter(F.length("group_name") > 0)
+    many = F.count("*").over(W.partitionBy("sheet", "group_name"))
+    return rows.withColumn("n_rows", many).filter("n_rows > 1")
+
+
 def tidy_sections(
     grid: DataFrame, section: Column, end: Column, sections: Mapping[str, str],
     header_row: int = 5, member: str = "region", **skew,
@@ -189,7 +201,11 @@ def tidy_sections(
     `section` gives the marker's name or NULL, `end` is true on the closing row, and
     `sections` maps marker names to output columns.
     """
-    header = grid.filter(F.col("row_idx") == header_row).select("sheet", F.col("cells").alias("__names"))
+    header = (
+        grid.filter(F.col("row_idx") == header_row).select("sheet", _cells())
+        .select("sheet", "col_idx", F.trim("cell").alias(member))
+        .filter(F.col(member).isNotNull() & ~F.col(member).isin(*EMPTY_HEADERS))
+    )
     kept = ordered.cut_at_sentinel(grid, end, ["row_idx"], ["sheet"], **skew)
     body = ordered.section_carry(kept, section, "metric", ["row_idx"], ["sheet"], **skew)
     dated = body.withColumns({
@@ -199,13 +215,8 @@ def tidy_sections(
     filled = ordered.forward_fill(dated, ["year"], ["row_idx"], ["sheet"], **skew)
     valid = ordered.valid_rows(filled, "quarter", QUARTER_MONTHS, "year")
     long = (
-        valid.join(header, "sheet")
-        .select(
-            "sheet", "row_idx", "year", "quarter", "metric", "__names",
-            _cells(),
-        )
-        .withColumn(member, F.trim(F.get("__names", F.col("col_idx"))))
-        .filter(F.col(member).isNotNull() & ~F.col(member).isin(*EMPTY_HEADERS))
+        valid.select("sheet", "row_idx", "year", "quarter", "metric", _cells())
+        .join(header, ["sheet", "col_idx"])
         .withColumn("value", clean_number(F.col("cell")))
     )
     period = period_key(F.col("year"), F.col("quarter"))

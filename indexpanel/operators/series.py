@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from indexpanel.functions.numbers import pct_change, round_half_up
+from indexpanel.functions.numbers import exact, pct_change, round_half_up
 from indexpanel.functions.text import classify_sign
 
 
@@ -59,9 +59,8 @@ def index_panel(
 
 def exact_mean(c: str | Column, w, digits: int = 6) -> tuple[Column, Column]:
     """Decimal (sum, count) over a window: independent of the order of additions."""
-    c = F.col(c) if isinstance(c, str) else c
-    exact = round_half_up(c, digits).cast(f"decimal(18,{digits})")
-    return F.sum(exact).over(w).cast("double"), F.count(c).over(w)
+    usable = exact(F.col(c) if isinstance(c, str) else c, digits)
+    return F.sum(usable).over(w).cast("double"), F.count(usable).over(w)
 
 
 def rolling_mean(
@@ -149,8 +148,8 @@ def regime_runs(
         .withColumn("__new", F.coalesce(F.col("__sign") != F.lag("__sign").over(w), F.lit(True)))
         .withColumn("run", F.sum(F.col("__new").cast("bigint")).over(w))
     )
-    exact = round_half_up(F.col(value), 6).cast("decimal(18,6)")
-    total, count = F.sum(exact).cast("double"), F.count(value).cast("double")
+    usable = exact(F.col(value))
+    total, count = F.sum(usable).cast("double"), F.count(usable).cast("double")
     return signed.groupBy(*series, "run", "__sign").agg(
         F.min_by(label, order).alias("first_label"),
         F.max_by(label, order).alias("last_label"),

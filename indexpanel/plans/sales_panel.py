@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +17,6 @@ from indexpanel.functions.numbers import from_minor_units, minor_units
 from indexpanel.functions.periods import ordinal, ordinal_end, period_label, quarter_name
 from indexpanel.functions.text import TOTAL_NAME
 from indexpanel.operators.series import index_panel
-from indexpanel.plans.sizing import broadcast_if_small
 
 NATIONAL = "ALL REGIONS"
 REF_WIDTH = 10
@@ -29,16 +27,9 @@ PART_KEYS = ("p_type", "p_brand", "p_name", "component")
 REGION_KEYS = ("r_name",)
 
 
-_TABLES: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; its footers are listed and read for the schema once per session."""
-    known = _TABLES.setdefault(spark, {})
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in known:
-        known[path] = spark.read.parquet(path)
-    return known[path]
+    """A table as its files are now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _quarter_start(o: int) -> Column:
@@ -64,7 +55,11 @@ def sales_cells(
     spark: SparkSession, sf_dir: str, keys: Sequence[str],
     ordinals: Sequence[int] | None = None, parts: Column | None = None,
 ) -> DataFrame:
-    """value and quantity per (keys, ordinal), exact."""
+    """value and quantity per (keys, ordinal), exact.
+
+    Line items whose order, part or place isn't there have no cell under any key: the joins that a grain doesn't need
+    are left out only because the tables' keys hold (fk_orphans and unmatched_keys report where they don't).
+    """
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey",
         minor_units(F.col("l_extendedprice")).alias("v"), minor_units(F.col("l_quantity")).alias("q"),
@@ -81,7 +76,7 @@ def sales_cells(
             .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         )
-        dated = broadcast_if_small(regional.select("o_orderkey", "ordinal", *places), dated)
+        dated = regional.select("o_orderkey", "ordinal", *places)
     rows = line.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
     if parts is not None or any(k in PART_KEYS for k in keys):
         part = table(spark, sf_dir, "part")

@@ -8,7 +8,6 @@ from indexpanel.functions.periods import ordinal_of
 
 SNAPSHOT = ordinal_of(2001, 2)  # the last full quarter of the test tables, Jun-01
 SNAPSHOT_QUARTERS = (SNAPSHOT - 4, SNAPSHOT - 1, SNAPSHOT)
-RECENT = tuple(range(SNAPSHOT - 4, SNAPSHOT + 1))
 WEIGHT_QUARTERS = tuple(range(SNAPSHOT - 8, SNAPSHOT - 4))
 BENCHMARK = "EUROPE"
 TARGET = 2.0
@@ -27,9 +26,8 @@ def query(sql: str):
 
 
 def r(x: str, n: int) -> str:
-    """round_half_up in SQL."""
-    scale = f"{10**n}.0::DOUBLE"
-    return f"(sign({x}) * floor(abs({x}) * {scale} + 0.5) / {scale} + 0.0)"
+    """round_half_up in SQL, by DECIMAL arithmetic on the printed value."""
+    return f"(CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)), {n}) AS DOUBLE) + 0.0)"
 
 
 SALES = """sales AS (

@@ -8,7 +8,6 @@ from indexpanel.functions.text import TOTAL_NAME
 from indexpanel.operators import decompose, quality, star
 from indexpanel.operators.series import index_panel
 from indexpanel.plans import sales_panel as sp
-from indexpanel.plans.materialize import materialize
 from indexpanel.queries.base import (
     END, GROUPED, GROUPED_ALL, LABEL, REGIONS, SALES, panel, query, wide,
 )
@@ -113,34 +112,51 @@ def panel_gaps(spark, sf):
     return sp.with_period(gaps).select(*entity, "period")
 
 
-CHECKS = " UNION ALL ".join(
-    f"SELECT '{c}' AS \"check\", CAST(0 AS BIGINT) AS n, 'OK' AS status"
-    for c in [f"duplicate keys {t}" for t in KEYS] + [f"orphans {f} {k}" for f, _, k in REFERENCES]
+STAR_SQL = f"""{SALES}, {GROUPED_ALL}, {REGIONS},
+dim_period AS (SELECT DISTINCT {LABEL} AS period FROM sales),
+dim_group AS (SELECT group_name, min(series_ref) AS series_ref FROM grouped GROUP BY group_name),
+dim_region AS (SELECT DISTINCT region FROM regions),
+fact_allgroups AS (SELECT {LABEL} AS period FROM sales GROUP BY ordinal),
+fact_groups AS (SELECT group_name, {LABEL} AS period FROM grouped GROUP BY group_name, ordinal),
+fact_regional AS (SELECT region, {LABEL} AS period FROM regions GROUP BY region, ordinal),
+n AS (SELECT (SELECT count(DISTINCT year(o_orderdate) * 4 + quarter(o_orderdate)) FROM orders) AS quarters,
+  (SELECT 1 + count(DISTINCT p_type) + count(DISTINCT (p_type, p_brand)) FROM part) AS members,
+  (SELECT count(*) + 1 FROM region) AS places),
+expected AS (SELECT unnest(['dim_period', 'dim_group', 'dim_region', 'fact_allgroups', 'fact_groups', 'fact_regional']) AS t,
+  unnest([quarters, members, places, quarters, members * quarters, places * quarters]) AS expected FROM n)"""
+ROWS_SQL = " UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM {t}" for t in KEYS)
+REPEATS_SQL = " UNION ALL ".join(
+    f"SELECT 'duplicate keys {t}' AS c, count(*) AS n FROM (SELECT 1 FROM {t} GROUP BY {', '.join(k)} HAVING count(*) > 1)"
+    for t, k in KEYS.items()
+)
+LOST_SQL = " UNION ALL ".join(
+    f"SELECT 'orphans {f} {k}' AS c, count(*) AS n FROM {f} WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT {k} FROM {d})"
+    for f, d, k in REFERENCES
 )
 
 
-@query(f"""WITH {SALES}, {GROUPED_ALL}, {REGIONS},
-counts AS (SELECT 'dim_period' AS t, count(DISTINCT ordinal) AS n FROM sales
-  UNION ALL SELECT 'dim_group', count(DISTINCT group_name) FROM grouped
-  UNION ALL SELECT 'dim_region', count(DISTINCT region) FROM regions
-  UNION ALL SELECT 'fact_allgroups', count(DISTINCT ordinal) FROM sales
-  UNION ALL SELECT 'fact_groups', count(*) FROM (SELECT DISTINCT group_name, ordinal FROM grouped)
-  UNION ALL SELECT 'fact_regional', count(*) FROM (SELECT DISTINCT region, ordinal FROM regions))
-SELECT 'rows ' || t AS "check", CAST(n AS BIGINT) AS n,
-  CASE WHEN t = 'dim_region' AND n <> (SELECT count(*) + 1 FROM region) THEN 'EXPECTED ' || (SELECT count(*) + 1 FROM region)
-       WHEN t = 'dim_region' THEN 'OK' ELSE 'EXPECTED nothing' END AS status FROM counts
-UNION ALL {CHECKS}""")
+@query(f"""WITH {STAR_SQL}
+SELECT 'rows ' || t AS "check", CAST(n AS BIGINT) AS n, CASE WHEN n = expected THEN 'OK' ELSE 'EXPECTED ' || expected END AS status
+FROM ({ROWS_SQL}) JOIN expected USING (t)
+UNION ALL SELECT c, CAST(n AS BIGINT), CASE WHEN n = 0 THEN 'OK' ELSE 'BROKEN' END FROM ({REPEATS_SQL} UNION ALL {LOST_SQL})""")
 def star_report(spark, sf):
-    """The star built from the sales panels, and its verification."""
-    # One pass over the line items feeds all three panels; each panel is read by many checks.
-    # Both are written once, as the stored star would be.
-    cells = materialize(sp.sales_cells(spark, sf, ["p_type", "p_brand", "component", "r_name"]))
+    """The star built from the sales panels, and its verification against counts derived from the source tables."""
+    # One aggregation of the line items feeds all three panels; its exchange is reused by every check.
+    cells = sp.sales_cells(spark, sf, ["p_type", "p_brand", "component", "r_name"])
     changes = {"qoq": "qoq_pct_change", "yoy": "yoy_pct_change"}
     groups = index_panel(sp.group_members(cells), ["group_name"]).withColumnsRenamed(changes)
     regional = index_panel(sp.region_members(cells), ["region"]).withColumnsRenamed(
         {"index_value": "cpi_index", **changes}
     )
-    panels = [materialize(sp.with_period(p)) for p in (sp.wide_of(cells), groups, regional)]
-    regions = sp.table(spark, sf, "region").agg((F.count("*") + 1).alias("expected"))
-    expected = regions.select(F.lit("dim_region").alias("table_name"), "expected")
-    return star.verify_star(star.build_star(*panels), expected)
+    panels = [sp.with_period(p) for p in (sp.wide_of(cells), groups, regional)]
+    quarters = sp.table(spark, sf, "orders").agg(F.count_distinct(sp.ordinal(F.col("o_orderdate")))).scalar()
+    members = sp.table(spark, sf, "part").agg(
+        F.count_distinct("p_type") + F.count_distinct("p_type", "p_brand") + 1
+    ).scalar()
+    places = sp.table(spark, sf, "region").agg(F.count("*") + 1).scalar()
+    sizes = {
+        "dim_period": quarters, "dim_group": members, "dim_region": places, "fact_allgroups": quarters,
+        "fact_groups": members * quarters, "fact_regional": places * quarters,
+    }
+    pairs = F.array(*[F.struct(F.lit(t).alias("table_name"), n.alias("expected")) for t, n in sizes.items()])
+    return star.verify_star(star.build_star(*panels), spark.range(1).select(F.inline(pairs)))

@@ -11,7 +11,7 @@ from indexpanel.plans import grids as layout
 from indexpanel.plans import sales_panel as sp
 from indexpanel.queries.base import GROUPED_ALL, LABEL, SALES, panel, query, wide
 from indexpanel.queries.facts import MEASURES
-from indexpanel.queries.trends import REGIONS
+from indexpanel.queries.trends import region_names
 from indexpanel.sources import grid as source
 
 LINES_SQL = r"""lines AS (SELECT CAST(doc_id AS VARCHAR) AS sheet, u.i - 1 AS row_idx, u.line AS line FROM (
@@ -61,10 +61,9 @@ def grid_header_join(spark, sf):
 ORDER = ["ts", "event_id"]
 
 
-def _minutes():
-    """Minute of the event, never decreasing in ts: splits a hot user's events."""
-    day = F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date"))
-    return (day * 24 + F.hour("ts")) * 60 + F.minute("ts")
+def _hours():
+    """Hour of the event, never decreasing in ts: splits a hot user's events."""
+    return F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")) * 24 + F.hour("ts")
 
 
 def _events(spark, sf):
@@ -79,7 +78,7 @@ def _carried(spark, sf):
     rows = _events(spark, sf).withColumn(
         "carried", F.when(F.col("event_type") == "purchase", F.col("value"))
     )
-    return ordered.forward_fill(rows, ["carried"], ORDER, ["user_id"], chunk=_minutes())
+    return ordered.forward_fill(rows, ["carried"], ORDER, ["user_id"], chunk=_hours())
 
 
 @query(f"SELECT event_id, user_id, event_type, carried FROM ({FILLED_SQL})")
@@ -100,7 +99,7 @@ SELECT event_id, user_id, event_type, section FROM m WHERE section IS NOT NULL A
 def section_carry(spark, sf):
     opens = F.when(F.col("event_type") == "signup", F.col("event_id"))
     out = ordered.section_carry(
-        _events(spark, sf), opens, "section", ORDER, ["user_id"], chunk=_minutes()
+        _events(spark, sf), opens, "section", ORDER, ["user_id"], chunk=_hours()
     )
     return out.select("event_id", "user_id", "event_type", "section")
 
@@ -110,7 +109,7 @@ SELECT event_id, e.user_id, event_type FROM events e LEFT JOIN cut ON cut.user_i
 WHERE first_error IS NULL OR struct_pack(ts := e.ts, id := e.event_id) < first_error""")
 def cut_at_sentinel(spark, sf):
     out = ordered.cut_at_sentinel(
-        _events(spark, sf), F.col("event_type") == "error", ORDER, ["user_id"], chunk=_minutes()
+        _events(spark, sf), F.col("event_type") == "error", ORDER, ["user_id"], chunk=_hours()
     )
     return out.select("event_id", "user_id", "event_type")
 
@@ -151,11 +150,12 @@ def tidy_sections(spark, sf):
     keys = ["p_type", "r_name"]
     rows = index_panel(sp.sales_cells(spark, sf, keys), keys)
     source_of = {"index": "index_value", "qoq_pct": "qoq", "yoy_pct": "yoy"}
+    names = region_names(spark, sf)
     table = rows.groupBy("p_type", "ordinal").agg(*[
         F.max(F.when(F.col("r_name") == n, F.col(c))).alias(f"{s}__{n}")
-        for s, c in source_of.items() for n in REGIONS
+        for s, c in source_of.items() for n in names
     ])
-    grid = layout.sections_grid(table, "p_type", REGIONS, SECTIONS)
+    grid = layout.sections_grid(table, "p_type", names, SECTIONS)
     section = region_section(cell(0))
     tidy = reshape.tidy_sections(
         grid, section, cell(0).contains("Source") & section.isNull(), REGION_SECTIONS

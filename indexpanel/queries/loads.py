@@ -56,7 +56,7 @@ def load_rejects(spark, sf):
 
 @query(f"""SELECT CAST(count(*) AS BIGINT) AS rows_parsed,
   CAST(count(*) FILTER (NOT {BAD_YEAR} AND NOT {BAD_PRICE}) AS BIGINT) AS rows_loaded,
-  CAST(count(*) FILTER ({BAD_YEAR} OR {BAD_PRICE}) AS BIGINT) AS errors_seen FROM orders""")
+  CAST(count(*) FILTER ({BAD_YEAR} OR {BAD_PRICE}) AS BIGINT) AS errors_seen, CAST(0 AS BIGINT) AS n_malformed FROM orders""")
 def load_metrics(spark, sf):
     return staged.load_metrics(staged.load_with_rejects(order_lines(spark, sf), PICKS))
 
@@ -99,24 +99,22 @@ o AS (SELECT year(o_orderdate) * 4 + quarter(o_orderdate) AS ordinal, o_ordersta
 b AS (SELECT ordinal, SUM(p) AS x FROM o GROUP BY 1),
 c AS (SELECT ordinal, SUM(p) AS x FROM o WHERE o_orderstatus = 'P' GROUP BY 1)
 SELECT CAST(a.ordinal AS INTEGER) AS ordinal, CAST(a.x AS DOUBLE) AS shipped, CAST(b.x AS DOUBLE) AS ordered,
-  CAST(c.x AS DOUBLE) AS pending FROM a LEFT JOIN b USING (ordinal) LEFT JOIN c USING (ordinal)""")
+  CAST(c.x AS DOUBLE) AS pending, CAST(1 AS BIGINT) AS n_rows FROM a LEFT JOIN b USING (ordinal) LEFT JOIN c USING (ordinal)""")
 def merge_measures(spark, sf):
-    def total(df, date, column, name):
-        cents = F.sum(minor_units(F.col(column)))
-        return df.groupBy(ordinal(F.col(date)).alias("ordinal")).agg(
-            from_minor_units(cents).cast("double").alias(name)
-        )
-
-    orders = table(spark, sf, "orders")
-    pending = orders.filter(F.col("o_orderstatus") == "P")
-    return reshape.merge_measures(
-        total(table(spark, sf, "lineitem"), "l_shipdate", "l_extendedprice", "shipped"),
-        {
-            "ordered": total(orders, "o_orderdate", "o_totalprice", "ordered"),
-            "pending": total(pending, "o_orderdate", "o_totalprice", "pending"),
-        },
-        ["ordinal"], "shipped",
+    def total(df, date, **cents):
+        return df.groupBy(ordinal(F.col(date)).alias("ordinal")).agg(*[
+            from_minor_units(F.sum(c)).cast("double").alias(name) for name, c in cents.items()
+        ])
+
+    price = minor_units(F.col("o_totalprice"))
+    orders = total(table(spark, sf, "orders"), "o_orderdate", ordered=price,
+                   pending=F.when(F.col("o_orderstatus") == "P", price))
+    shipped = total(table(spark, sf, "lineitem"), "l_shipdate", shipped=minor_units(F.col("l_extendedprice")))
+    # Both measures of the orders come from one aggregation, so they merge as one table.
+    merged = reshape.merge_measures(
+        shipped, {"both": orders.select("ordinal", F.struct("ordered", "pending").alias("both"))}, ["ordinal"], "shipped",
     )
+    return merged.select("ordinal", "shipped", "both.*", F.greatest("n_shipped", "n_both").alias("n_rows"))
 
 
 FLAGS = ("A", "N", "R")
@@ -126,9 +124,9 @@ ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 @query("SELECT l_orderkey, " + ", ".join(
     f"arg_min(l_extendedprice, struct_pack(a := l_linenumber, b := l_partkey, c := l_suppkey, d := l_extendedprice)) "
     f"FILTER (l_returnflag = '{f}') AS price_{f}" for f in FLAGS
-) + " FROM lineitem GROUP BY l_orderkey")
+) + f", count(*) FILTER (l_extendedprice IS NOT NULL AND (l_returnflag IS NULL OR l_returnflag NOT IN {FLAGS})) AS n_other" + " FROM lineitem GROUP BY l_orderkey")
 def pivot_first(spark, sf):
     wide = reshape.pivot_first(
-        table(spark, sf, "lineitem"), ["l_orderkey"], "l_returnflag", "l_extendedprice", FLAGS, ORDER
+        table(spark, sf, "lineitem"), ["l_orderkey"], "l_returnflag", "l_extendedprice", FLAGS, ORDER, other="n_other"
     )
     return reshape.rename(wide, {f: f"price_{f}" for f in FLAGS})

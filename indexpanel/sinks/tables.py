@@ -23,9 +23,13 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 
 
 def reload_tables(tables: Mapping[str, DataFrame], path: str) -> None:
-    """Full refresh: dimensions first, then the facts that refer to them."""
+    """Full refresh: dimensions first, then the facts that refer to them, partitioned by year where they have one.
+
+    A fact partitioned so replaces the years that it is given and keeps the others.
+    """
     for name in sorted(tables, key=lambda n: (not n.startswith("dim_"), n)):
-        write_table(tables[name], f"{path}/{name}")
+        by_year = ["year"] if name.startswith("fact_") and "year" in tables[name].columns else []
+        write_table(tables[name], f"{path}/{name}", by_year)
 
 
 def read_tables(spark: SparkSession, names: Sequence[str], path: str) -> dict[str, DataFrame]:

@@ -10,6 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+RECORD = r'(?s)\G(?=.)((?:"(?:[^"]|"")*+"|[^"\n])*+)(?:\n|\z)'
+FIELD = r'(?s)\G("(?:[^"]|"")*+"|[^,]*),'
+
 
 def grid_from_lines(
     df: DataFrame, sheet: str, text: str, cell_separator: str | None = None
@@ -31,22 +34,23 @@ def grid_from_columns(df: DataFrame, sheet: Column, row_idx: str, columns: Seque
     )
 
 
-def read_grid(spark: SparkSession, path: str | list[str], n_columns: int) -> DataFrame:
+def read_grid(spark: SparkSession, path: str | list[str], n_columns: int | None = None) -> DataFrame:
     """Sheets exported as CSV without header, one file per sheet named <sheet>.csv.
 
-    A file is read by one task so that its row order is known; a sheet holds at most
-    1,048,576 rows by its format. Many sheets are read in parallel.
+    Rows keep all their cells; quoted cells may hold commas, doubled quotes and line breaks. Rows shorter than
+    `n_columns` are filled with NULL. A file is one string in one task, so that its row order is known: a sheet holds at
+    most 1,048,576 rows by its format, and a file of 2 GB or more fails to read. Many sheets are read in parallel.
     """
-    names = [f"c{i}" for i in range(n_columns)]
     sheet = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
-    files = spark.read.text(path, wholetext=True).select(sheet.alias("sheet"), "value")
-    lines = files.select(
-        "sheet", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), "\r?\n")).alias("row_idx", "line")
-    )
-    parsed = F.inline(F.array(F.from_csv("line", ", ".join(f"{n} string" for n in names))))
-    return lines.select("sheet", "row_idx", parsed).select(
-        "sheet", "row_idx", F.array(*names).alias("cells")
-    )
+    files = spark.read.text(path, wholetext=True).select(sheet.alias("sheet"), F.regexp_replace("value", r"\r?\n\z", "").alias("value"))
+    # A row is everything up to a line break outside quotes, a cell everything up to a comma outside quotes.
+    rows = files.select("sheet", F.posexplode(F.regexp_extract_all("value", F.lit(RECORD), F.lit(1))).alias("row_idx", "line"))
+    bare = F.regexp_extract_all(F.concat(F.regexp_replace("line", r"\r\z", ""), F.lit(",")), F.lit(FIELD), F.lit(1))
+    cells = F.transform(bare, lambda c: F.when(c == "", F.lit(None)).when(
+        c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c))
+    if n_columns:
+        cells = F.concat(cells, F.array_repeat(F.lit(None).cast("string"), F.greatest(F.lit(n_columns) - F.size(cells), F.lit(0))))
+    return rows.select("sheet", "row_idx", cells.alias("cells"))
 
 
 def list_sheets(grid: DataFrame) -> DataFrame:

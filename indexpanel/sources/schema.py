@@ -83,12 +83,16 @@ REFERENCES = [
 ]
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def create_tables(spark: SparkSession, database: str) -> None:
     """Declare the six empty tables, with column comments, in a database."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, schema in STAR.items():
         columns = ", ".join(
-            f"{f.name} {f.dataType.simpleString()} COMMENT '{f.metadata['comment']}'".replace("'s", "s")
+            f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'} COMMENT '{_quoted(f.metadata['comment'])}'"
             for f in schema
         )
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")

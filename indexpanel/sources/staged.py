@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,15 +27,19 @@ def _cast(raw: Column, kind: str) -> Column:
 
 
 def load_with_rejects(lines: DataFrame, picks: Sequence[Pick], line: str = "line") -> DataFrame:
-    """Typed columns, plus `status` ('loaded' or 'rejected') and the column that failed.
+    """Typed columns, plus `status` ('loaded', 'rejected' or 'malformed') and the column that failed.
 
-    A row is rejected when a strict column has text that does not cast.
+    A row is rejected when a strict column has text that does not cast, and malformed when a quote stays open or it has
+    fewer fields than the last one picked. Fields beyond that one are ignored, as the load is by position.
     """
     width = max(p.position for p in picks)
     ddl = ", ".join(f"_{i} string" for i in range(1, width + 1))
     # A generator, so that a line is parsed once however many columns are picked from it.
     parsed = lines.select(line, F.inline(F.array(F.from_csv(line, ddl, {"quote": '"', "escape": '"'}))))
-    typed = parsed.select(line, *[F.col(f"_{p.position}").alias(f"__raw_{p.name}") for p in picks])
+    outside = F.regexp_replace(F.col(line), '"[^"]*"', "")  # what no quotes enclose
+    malformed = outside.contains('"') | (F.size(F.split(outside, ",")) < width)
+    typed = parsed.select(line, F.coalesce(malformed, F.lit(True)).alias("__malformed"),
+                          *[F.col(f"_{p.position}").alias(f"__raw_{p.name}") for p in picks])
     typed = typed.withColumns({p.name: _cast(F.col(f"__raw_{p.name}"), p.kind) for p in picks})
     failed = F.coalesce(*[
         F.when(F.col(f"__raw_{p.name}").isNotNull() & F.col(p.name).isNull(), p.name)
@@ -43,7 +47,7 @@ def load_with_rejects(lines: DataFrame, picks: Sequence[Pick], line: str = "line
     ], F.lit(None).cast("string"))
     return typed.select(
         line, *[p.name for p in picks], failed.alias("failed_column"),
-        F.when(failed.isNull(), "loaded").otherwise("rejected").alias("status"),
+        F.when(F.col("__malformed"), "malformed").when(failed.isNull(), "loaded").otherwise("rejected").alias("status"),
     )
 
 
@@ -55,13 +59,29 @@ def staged_load(lines: DataFrame, picks: Sequence[Pick], line: str = "line") ->
 
 
 def rejects(loaded: DataFrame, line: str = "line") -> DataFrame:
-    return loaded.filter("status = 'rejected'").select(line, "failed_column")
+    """Lines that don't load; malformed ones have no failed column."""
+    return loaded.filter("status <> 'loaded'").select(line, F.when(F.col("status") == "rejected", F.col("failed_column"))
+                                                      .alias("failed_column"))
+
+
+def read_staged(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:
+    """`line` of staged files, without the first line of each file if they have a header."""
+    rows = spark.read.text(path).select(
+        F.col("value").alias("line"), F.monotonically_increasing_id().alias("__at"),
+        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+    )
+    if not header:
+        return rows.select("line")
+    # The first line of a file is the first one that is read of its first block.
+    first = rows.filter("__start = 0").groupBy("__file").agg(F.min("__at").alias("__at"))
+    return rows.join(first, ["__file", "__at"], "left_anti").select("line")
 
 
 def load_metrics(loaded: DataFrame) -> DataFrame:
-    """Rows parsed, loaded and rejected, in one row."""
+    """Rows parsed, loaded, rejected and malformed, in one row."""
     return loaded.agg(
         F.count("*").alias("rows_parsed"),
         F.count_if(F.col("status") == "loaded").alias("rows_loaded"),
-        F.count_if(F.col("status") == "rejected").alias("errors_seen"),
+        F.count_if(F.col("status") != "loaded").alias("errors_seen"),
+        F.count_if(F.col("status") == "malformed").alias("n_malformed"),
     )

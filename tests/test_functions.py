@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +96,27 @@ def test_short_label(spark):
     df = spark.createDataFrame([("x" * 40, None), ("y", "Y")], "n string, l string")
     got = [r[0] for r in df.select(text.short_label(F.col("l"), F.col("n"))).collect()]
     assert got == ["x" * 35, "Y"]
+
+
+@pytest.mark.parametrize("x, digits, expected", [
+    (1e18, 2, 1e18), (2e13, 6, 2e13), (0.49999999999999994, 0, 0.0), (0.5, 0, 1.0), (-0.5, 0, -1.0), (2.675, 2, 2.68), (-0.001, 2, 0.0),
+    (float("inf"), 2, float("inf")), (float("-inf"), 2, float("-inf")), (1e300, 3, 1e300), (None, 2, None)])
+def test_rounding_has_no_range(spark, x, digits, expected):
+    got = spark.createDataFrame([(x,)], "x double").select(numbers.round_half_up(F.col("x"), digits)).first()[0]
+    assert got == expected and str(got) != "-0.0"
+
+
+def test_nan_stays_nan_and_amounts_that_are_none_are_null(spark):
+    df = spark.createDataFrame([(v,) for v in (float("nan"), float("inf"), 1e18, 12.34, -0.01, None)], "x double")
+    assert math.isnan(df.select(numbers.round_half_up(F.col("x"), 2)).first()[0])
+    assert [r[0] for r in df.select(numbers.minor_units(F.col("x"))).collect()] == [None, None, None, 1234, -1, None]
+    from indexpanel.operators.quality import unusable_amounts
+
+    assert unusable_amounts(df, ["x"]).first().n_unusable == 3
+
+
+def test_exact_means_beyond_a_long(spark):
+    from indexpanel.operators.compare import persistence
+
+    df = spark.createDataFrame([("m", 2e12, 1.0), ("m", 4e12, 1.0), ("m", float("nan"), 1.0)], "m string, v double, r double")
+    assert persistence(df, "m", "v", "r").first().mean_value == 3e12

@@ -11,7 +11,7 @@ from indexpanel.plans import star_load
 from indexpanel.sinks import tables
 from indexpanel.sources import schema
 from indexpanel.sources.files import lookup_df, read_csv
-from indexpanel.sources.staged import Pick, load_metrics, load_with_rejects, rejects, staged_load
+from indexpanel.sources.staged import Pick, load_metrics, load_with_rejects, read_staged, rejects, staged_load
 
 PICKS = [
     Pick("name", 3), Pick("day", 2, "date", strict=False), Pick("year", 1, "int"),
@@ -30,7 +30,6 @@ def lines_df(spark, lines):
 def test_staged_load(spark):
     got = staged_load(lines_df(spark, LINES), PICKS).orderBy("name").collect()
     assert [tuple(r) for r in got] == [
-        (None, dt.date(2025, 6, 30), 2025, None),
         ("Food, drink", dt.date(2025, 3, 31), 2025, Decimal("2.65")),
         ("b", None, 3, Decimal("-1.00")),
         ("e", dt.date(2025, 6, 30), 2025, None),
@@ -41,8 +40,50 @@ def test_staged_load(spark):
 def test_rejects_are_kept_as_data(spark):
     loaded = load_with_rejects(lines_df(spark, LINES), PICKS)
     bad = rejects(loaded).orderBy("line").collect()
-    assert [tuple(r) for r in bad] == [("2025,,d,..", "rate"), ("x,2025-03-31,c,1", "year")]
-    assert tuple(load_metrics(loaded).first()) == (7, 5, 2)
+    assert [tuple(r) for r in bad] == [("2025,,d,..", "rate"), ("2025,2025-06-30", None), ("x,2025-03-31,c,1", "year")]
+    assert tuple(load_metrics(loaded).first()) == (7, 4, 3, 1)
+
+
+def test_open_quotes_and_missing_fields_are_malformed(spark):
+    lines = ['"broken,2020-03-31,x,S,1', 'a,2020-03-31,"x, y",1', 'a,2020-03-31', 'a,b,c,d,e,"', "2020,2020-03-31,n,1,beyond"]
+    got = {r.line: r.status for r in load_with_rejects(lines_df(spark, lines), PICKS).collect()}
+    assert [got[x] for x in lines] == ["malformed", "rejected", "malformed", "malformed", "loaded"]
+
+
+def test_staged_files_lose_their_header_only(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"f{i}.csv").write_text(f"h{i}\n{i}a\nh{i}\n")
+    (tmp_path / "empty.csv").write_text("")
+    assert sorted(r.line for r in read_staged(spark, str(tmp_path)).collect()) == ["0a", "1a", "2a", "h0", "h1", "h2"]
+    assert read_staged(spark, str(tmp_path), header=False).count() == 9
+
+
+def test_a_missing_table_fails_the_count_check(spark):
+    counts = quality.row_counts({"a": spark.range(3), "b": spark.range(1)})
+    expected = spark.createDataFrame([("a", 3), ("gone", 10)], "table_name string, expected long")
+    checked = quality.expect_counts(counts, expected)
+    assert {r.table_name: r.status for r in checked.collect()} == {"a": "OK", "b": "EXPECTED nothing", "gone": "MISSING"}
+    assert not quality.all_ok(checked).first()[0]
+
+
+def test_profiles_of_awkward_column_names(spark):
+    df = spark.createDataFrame([(1, None), (None, "x")], "`a.b` int, `c d` string")
+    assert {(r.column_name, r.n_nulls) for r in quality.null_profile(df).collect()} == {("a.b", 1), ("c d", 1)}
+    assert {r.column_name for r in quality.not_null(df, ["a.b"]).collect()} == {"a.b"}
+
+
+def test_declared_tables_carry_comments_and_nulls(spark):
+    from indexpanel.sources.schema import STAR, create_tables
+
+    create_tables(spark, "declared")
+    try:
+        columns = {r.name: r for r in spark.catalog.listColumns("declared.dim_group")}
+        comment = STAR["dim_group"]["series_ref"].metadata["comment"]
+        assert "'" in comment and columns["series_ref"].description == comment
+        meanings = {r.column_name: r.meaning for r in quality.data_dictionary(spark.table("declared.dim_group"), "g").collect()}
+        assert meanings["series_ref"] == comment
+    finally:
+        spark.sql("DROP DATABASE declared CASCADE")
 
 
 def test_a_scale_zero_number_loses_decimals(spark):

@@ -35,10 +35,7 @@ def collected(df):
     return sorted([tuple(r) for r in df.collect()], key=str)
 
 
-PATHS = [
-    {}, {"chunk": 10, "hot_rows": 0, "hot_share": 0.0}, {"chunk": 1, "hot_rows": 100},
-    {"chunk": 10**9, "hot_rows": 0}, {"chunk": 7},
-]
+PATHS = [{}, {"chunk": 10}, {"chunk": 1}, {"chunk": 10**9}, {"chunk": 7}]
 
 
 def skew(path):
@@ -112,14 +109,6 @@ def test_cut_at_sentinel(spark, path):
     assert collected(got) == sorted(want, key=str)
 
 
-def test_hot_groups_are_bounded(spark):
-    data = [(str(i % 50), i, None, "") for i in range(1000)] + [("hot", i, None, "") for i in range(500)]
-    df = spark.createDataFrame(data, SCHEMA)
-    assert [r.g for r in ordered.hot_groups(df, ["g"], 0.1, 0).collect()] == ["hot"]
-    assert ordered.hot_groups(df, ["g"], 0.01, 0).count() < 100
-    assert ordered.hot_groups(df, ["g"], 0.1, 10_000).count() == 0
-
-
 def test_empty_input(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert ordered.forward_fill(df, ["v"], ["i"], ["g"], **skew(PATHS[1])).count() == 0

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from indexpanel.operators import ordered
 from indexpanel.plans import sales_panel as sp
-from indexpanel.plans.sizing import broadcast_if_small
 from indexpanel.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -51,12 +50,42 @@ def test_plan_at_scale(no_broadcast, key):
         assert all(any("Aggregate" in x for x in below[:i]) for i in scans[:1]), below
 
 
-def test_only_hot_keys_are_force_broadcast(no_broadcast):
-    """Beyond Spark's limit nothing is broadcast except the bounded set of hot keys."""
-    carries = {"forward_fill", "valid_rows", "section_carry", "cut_at_sentinel"}
+def test_nothing_is_force_broadcast(no_broadcast):
     for key in QUERIES:
-        text = plan(QUERIES[key](no_broadcast, SF))
-        assert ("BroadcastHashJoin" in text) == (key in carries), key
+        assert "BroadcastHashJoin" not in plan(QUERIES[key](no_broadcast, SF)), key
+
+
+def scans(text, table):
+    return sum("FileScan" in x and f"{table}.parquet" in x for x in text.split("\n"))
+
+
+@pytest.mark.parametrize("key, table, most", [
+    ("forward_fill", "events", 2), ("valid_rows", "events", 2), ("section_carry", "events", 2), ("cut_at_sentinel", "events", 2),
+    ("grid_header_join", "documents", 1), ("merge_measures", "orders", 1)])
+def test_big_tables_are_read_once_or_twice(spark, key, table, most):
+    assert scans(plan(QUERIES[key](spark, SF)), table) <= most
+
+
+def test_one_numeric_order_pivots_by_hash_aggregation(spark):
+    from indexpanel.operators.reshape import pivot_first
+
+    rows = spark.range(10).select("id", F.lit("a").alias("n"), F.col("id").cast("double").alias("v"))
+    assert "SortAggregate" not in plan(pivot_first(rows, ["id"], "n", "v", ["a"], ["id"]))
+
+
+def test_reference_values_are_aggregated_before_they_are_joined(spark):
+    from indexpanel.operators.compare import vs_members
+
+    rows = spark.range(10).select(F.lit("m").alias("member"), F.lit(1.0).alias("v"), F.col("id").alias("ordinal"))
+    assert "Window" not in plan(vs_members(rows, "v", "member", {"d": "m"}, ["ordinal"]))
+
+
+def test_tables_are_read_as_they_are(spark, tmp_path):
+    path = f"{tmp_path}/t.parquet"
+    spark.range(3).write.parquet(path)
+    assert sp.table(spark, str(tmp_path), "t").count() == 3
+    spark.range(5).write.mode("append").parquet(path)
+    assert sp.table(spark, str(tmp_path), "t").count() == 8
 
 
 def test_scan_is_pruned_and_filtered(spark):
@@ -100,14 +129,3 @@ def test_hot_join_key_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
-def test_broadcast_needs_a_small_measured_size(spark):
-    orders = sp.table(spark, SF, "orders")
-    assert "broadcast" in broadcast_if_small(orders, orders)._jdf.queryExecution().logical().toString().lower()
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1KB")
-    try:
-        assert broadcast_if_small(orders, orders) is orders
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -8,7 +8,6 @@ import os
 import pytest
 from check_oracles import TABLES, compare, connect
 
-from indexpanel.operators import ordered
 from indexpanel.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -49,7 +48,6 @@ def test_query(spark, plain, key):
 
 
 @pytest.mark.parametrize("key", QUERIES)
-def test_query_on_skewed_tables(spark, skewed, key, monkeypatch):
+def test_query_on_skewed_tables(spark, skewed, key):
     path, con = skewed
-    monkeypatch.setattr(ordered, "HOT_ROWS", 100)
     assert compare(QUERIES[key](spark, path), con, ORACLES[key]) is None

@@ -57,10 +57,10 @@ def test_extract_groups(spark):
     }
     got = workbook.extract_groups(grid(spark, sheets)).orderBy("group_name", "period_date").collect()
     assert [tuple(r) for r in got] == [
-        ("Mar-25", dt.date(2025, 3, 31), "Bread, cereals", "", 20.0, None, None),
-        ("Jun-25", dt.date(2025, 6, 30), "Bread, cereals", "", 21.0, None, 4.0),
-        ("Mar-25", dt.date(2025, 3, 31), "Food group", "A1", 10.0, 1.0, None),
-        ("Jun-25", dt.date(2025, 6, 30), "Food group", "A1", None, 2.0, None),
+        ("Mar-25", dt.date(2025, 3, 31), "Bread, cereals", "", 20.0, None, None, 1),
+        ("Jun-25", dt.date(2025, 6, 30), "Bread, cereals", "", 21.0, None, 4.0, 1),
+        ("Mar-25", dt.date(2025, 3, 31), "Food group", "A1", 10.0, 1.0, None, 1),
+        ("Jun-25", dt.date(2025, 6, 30), "Food group", "A1", None, 2.0, None, 1),
     ]
 
 
@@ -83,7 +83,7 @@ def region_sheet():
 
 @pytest.mark.parametrize("chunked", [False, True])
 def test_extract_regions(spark, chunked):
-    skew = {"chunk": F.floor(F.col("row_idx") / 3), "hot_rows": 0} if chunked else {}
+    skew = {"chunk": F.floor(F.col("row_idx") / 3)} if chunked else {}
     got = workbook.extract_regions(grid(spark, {"17": region_sheet()}), **skew)
     assert [tuple(r) for r in got.orderBy("region", "period_date").collect()] == [
         ("Mar-25", dt.date(2025, 3, 31), 2025, "Mar", "North", 100.0, 0.1, 3.1),
@@ -96,9 +96,9 @@ def test_extract_regions(spark, chunked):
 
 def test_header_columns_and_skip(spark):
     g = grid(spark, {"s": [["a", " ", "NaN", " b "], ["1", "2", "3", "4"]]})
-    assert [tuple(r)[1:] for r in reshape.header_columns(g, 0).orderBy("col_idx").collect()] == [(0, "a"), (3, "b")]
     assert [r.row_idx for r in reshape.skip_rows(g, 1).collect()] == [0]
-    assert reshape.unpivot_by_header(g, 0).count() == 2
+    named = reshape.unpivot_by_header(g, 0).orderBy("col_idx").collect()
+    assert [(r.row_idx, r.col_idx, r.name, r.cell) for r in named] == [(1, 0, "a", "1"), (1, 3, "b", "4")]
 
 
 def test_pick_columns(spark):
@@ -131,6 +131,30 @@ def test_merge_measures_is_a_left_merge(spark):
     assert [tuple(r) for r in got.collect()] == [("a", 1.0, "r1", 5.0), ("b", None, "r2", None)]
 
 
+def test_merged_keys_that_repeat_are_rejects(spark):
+    base = spark.createDataFrame([("a", 10.0), ("a", 20.0), ("b", 1.0)], "k string, x double")
+    y = spark.createDataFrame([("b", 5.0), ("b", 6.0), ("c", 1.0)], "k string, y double")
+    merged = reshape.merge_measures(base, {"y": y}, ["k"], "x")
+    assert {(r.k, r.n_x, r.n_y) for r in merged.collect()} == {("a", 2, 0), ("b", 1, 2)}
+    assert {r.k for r in reshape.repeated(merged, ["x", "y"]).collect()} == {"a", "b"}
+
+
+def test_repeated_names_are_kept_apart_and_reported(spark):
+    sheets = {s: group_sheet([("Fish", "S1", ["1", "2"]), ("Fish", "S2", ["3", "4"]), ("Meat", "M", ["5", "6"])])
+              for s in ("2.01", "2.02", "2.03")}
+    g = grid(spark, sheets)
+    rows = {(r.group_name, r.period): r for r in workbook.extract_groups(g).collect()}
+    fish = rows["Fish", "Mar-25"]
+    assert (fish.series_ref, fish.index_value, fish.n_rows) == ("S1", 1.0, 2) and rows["Meat", "Mar-25"].n_rows == 1
+    lost = reshape.repeated_names(g, ["2.01"], 6).collect()
+    assert sorted((r.group_name, r.series_ref) for r in lost) == [("Fish", "S1"), ("Fish", "S2")]
+
+
+def test_values_without_a_pivot_column_are_counted(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "z", 2.0), (1, None, 3.0), (1, "z", None)], "k int, n string, v double")
+    assert tuple(reshape.pivot_first(df, ["k"], "n", "v", ["a"], other="n_other").first()) == (1, 1.0, 2)
+
+
 def test_pivot_mean_and_columns(spark):
     df = spark.createDataFrame([(1, "x", 1.0), (1, "x", 2.0), (2, "y", 3.0)], "d int, r string, v double")
     wide = reshape.pivot_mean(df, ["d"], "r", "v", ["x", "y"]).orderBy("d")
@@ -147,6 +171,11 @@ def test_read_grid(spark, tmp_path):
         "row_idx", *[reshape.cell(i).alias(f"c{i}") for i in range(3)]
     ).collect()
     assert [tuple(r) for r in rows] == [(0, "a", "b, c", None), (1, None, None, "3"), (2, "last", None, None)]
+    (tmp_path / "q.csv").write_text('"say ""hi"", you",x\r\n"two\nlines",,y,z,more\r\n\r\n"",w\n')
+    quoted = source.read_grid(spark, str(tmp_path / "q.csv"), 3).orderBy("row_idx").collect()
+    assert [r.cells for r in quoted] == [
+        ['say "hi", you', "x", None], ["two\nlines", None, "y", "z", "more"], [None, None, None], ["", "w", None]]
+    (tmp_path / "q.csv").unlink()
     listed = source.list_sheets(g).orderBy("sheet").collect()
     assert [(r.sheet, r.n_rows, r.last_row) for r in listed] == [("1", 1, 0), ("2.01", 3, 2)]
     assert source.head_rows(g, "2.01", 2).count() == 2
