@@ -25,10 +25,6 @@ def ordinal_end(o: Column) -> Column:
     return F.last_day(F.make_date(year, (o - year * 4) * 3, F.lit(1)))
 
 
-def quarter_end(date: Column) -> Column:
-    return F.last_day(F.add_months(F.trunc(date, "quarter"), 2))
-
-
 def period_label(date: Column) -> Column:
     """'Mar-26'; for display only, never for sorting."""
     return F.date_format(date, "MMM-yy")
