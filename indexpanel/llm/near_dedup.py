@@ -158,7 +158,10 @@ def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
     met = materialize(members.select("node").distinct())
     candidates = materialize(nodes.join(met, "node", "left_semi").select("node", "id", "text_hash", "n", "registers"))
     wanted = candidates.select("node", F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"))
-    texts = source.join(wanted, (F.col("text_hash") == F.col("wanted_hash")) & F.col("id").eqNullSafe(F.col("wanted_id")))
+    # 32 bits of the wanted hashes leave out nearly all other texts, mostly without a shuffle of the texts.
+    few = materialize(candidates.select(F.hash("text_hash").alias("short")).distinct())
+    likely = source.withColumn("short", F.hash("text_hash")).join(few, "short", "left_semi")
+    texts = likely.join(wanted, (F.col("text_hash") == F.col("wanted_hash")) & F.col("id").eqNullSafe(F.col("wanted_id")))
     sets = materialize(map_arrow(texts.select("node", "text"), _sets(size), "node long, shingles array<long>")
                        .dropDuplicates(["node"]))
 
@@ -198,8 +201,9 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", size:
     """
     numbered = materialize(packed(docs, number=F.monotonically_increasing_id()))
     rows = numbered.select("number", F.col("row")[id].alias("id"), F.col("row")[text].alias("text"))
-    kept = grouped(rows, "id", "text", size, percent, number="number").where("is_first").select(F.col("row").alias("kept"))
-    return unpacked(numbered.join(materialize(kept), F.col("number") == F.col("kept"), "left_semi"), docs.columns)
+    # The rows to drop are the shorter list: where Spark can broadcast it, no text is shuffled.
+    copies = grouped(rows, "id", "text", size, percent, number="number").where("not is_first").select(F.col("row").alias("copy"))
+    return unpacked(numbered.join(materialize(copies), F.col("number") == F.col("copy"), "left_anti"), docs.columns)
 
 
 def _across(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -211,10 +215,11 @@ def _across(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     opened = sets.join(open_members.select("node").distinct(), "node", "left_semi")
     alone = (opened.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
              .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1").groupBy("node").agg(F.count("*").alias("own")))
-    able = (opened.join(alone, "node", "left")
-            .select("node", "shingles", F.size("shingles").alias("n"), (F.size("shingles") - F.coalesce("own", F.lit(0))).alias("most"))
+    able = (opened.select("node", F.size("shingles").alias("n")).join(alone, "node", "left")
+            .select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most"))
             .where(100 * F.col("most") >= percent * F.col("n")))
-    rows = open_members.join(able, "node")
+    # The sets are joined only to what still has another component in its bucket.
+    rows = materialize(_apart(open_members.join(able, "node"))).join(sets, "node")
     sizes = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("largest"))
     minor = rows.join(largest, "key").where("component <> largest")
@@ -231,6 +236,10 @@ def _across(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 def _open(members: DataFrame, parts: DataFrame) -> DataFrame:
     """key, node, component of the buckets that still have members in different components."""
-    named = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    left = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    return named.join(left.select("key"), "key", "left_semi")
+    return _apart(members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")))
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that have more than one component."""
+    left = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    return rows.join(left.select("key"), "key", "left_semi")
