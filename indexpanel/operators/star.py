@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,22 +67,44 @@ def build_star(series: DataFrame, groups: DataFrame, regional: DataFrame) -> dic
 
 
 def verify_star(tables: Mapping[str, DataFrame], expected: DataFrame) -> DataFrame:
-    """One report: row counts, duplicate keys and orphans; check, n, status."""
-    counted = quality.key_counts({t: (tables[t], keys) for t, keys in KEYS.items()})
-    checked = quality.expect_counts(counted, expected)
+    """One report: row counts, duplicate keys and orphans; check, n, status.
+
+    The keys of all tables and references meet in one aggregation by (check, key), combined where they are read: a key's
+    count shows duplicates, and a key that only the fact's side has is an orphan. A NULL reference is no orphan.
+    """
+    def keys_of(table: str, keys: Sequence[str], check: str, kind: str) -> DataFrame:
+        # Concatenated with lengths, so that no two keys meet and NULL stays apart.
+        parts = [F.coalesce(F.concat(F.length(k).cast("string"), F.lit(":"), k), F.lit("-")) for k in
+                 (F.col(c).cast("string") for c in keys)]
+        return tables[table].select(F.lit(check).alias("check"), F.concat(*parts).alias("key"),
+                                    F.lit(int(kind != "parent")).alias("n"), F.lit(int(kind == "parent")).alias("parent"))
+
+    rows = [keys_of(t, keys, t, "own") for t, keys in KEYS.items() if t in tables]
+    links = []
+    for fact, dim, key in REFERENCES:
+        check = f"orphans {fact} {key}"
+        links += [keys_of(fact, [key], check, "child").filter(F.col("key") != "-"), keys_of(dim, [key], check, "parent")]
+    seen = reduce(DataFrame.unionByName, [*rows, *links]).groupBy("check", "key").agg(
+        F.sum("n").alias("n"), F.max("parent").alias("parent")
+    )
+    found = seen.groupBy("check").agg(
+        F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 1).alias("n_duplicates"),
+        F.sum(F.when(F.col("parent") == 0, F.col("n")).otherwise(0)).alias("n_orphans"),
+    )
+    # Every check has a row, also over an empty table.
+    checks = [*[t for t in KEYS if t in tables], *[f"orphans {f} {k}" for f, _, k in REFERENCES]]
+    zero = found.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in checks])).alias("check"))
+    found = zero.join(found, "check", "left").fillna(0)
 
     def broken(check, n):
         status = F.when(n == 0, "OK").otherwise("BROKEN")
-        return F.struct(check.alias("check"), n.alias("n"), status.alias("status"))
+        return F.struct(check.alias("check"), n.cast("bigint").alias("n"), status.alias("status"))
 
-    rows = F.struct(
-        F.concat(F.lit("rows "), "table_name").alias("check"), F.col("n_rows").alias("n"), "status"
-    )
+    is_link = F.col("check").startswith("orphans ")
+    counted = found.filter(~is_link).select(F.col("check").alias("table_name"), "n_rows", "n_duplicates")
+    checked = quality.expect_counts(counted, expected)
+    sizes = F.struct(F.concat(F.lit("rows "), "table_name").alias("check"), F.col("n_rows").cast("bigint").alias("n"), "status")
     repeats = broken(F.concat(F.lit("duplicate keys "), "table_name"), F.col("n_duplicates"))
-    lost = quality.row_counts({
-        f"orphans {fact} {key}": quality.orphans(tables[fact], tables[dim], key, key)
-        for fact, dim, key in REFERENCES
-    })
-    return checked.select(F.inline(F.array(rows, repeats))).unionByName(
-        lost.select(F.inline(F.array(broken(F.col("table_name"), F.col("n_rows")))))
+    return checked.select(F.inline(F.array(sizes, repeats))).unionByName(
+        found.filter(is_link).select(F.inline(F.array(broken(F.col("check"), F.col("n_orphans")))))
     )
