@@ -218,8 +218,12 @@ def _across(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     able = (opened.select("node", F.size("shingles").alias("n")).join(alone, "node", "left")
             .select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most"))
             .where(100 * F.col("most") >= percent * F.col("n")))
-    # The sets are joined only to what still has another component in its bucket.
-    rows = materialize(_apart(open_members.join(able, "node"))).join(sets, "node")
+    # The sets are joined only to nodes whose bound allows a link with some node of another component in the bucket.
+    small = materialize(_apart(open_members.join(able, "node")))
+    other = small.select(*[F.col(c).alias(f"o_{c}") for c in ("key", "component", "n", "most")])
+    possible = ((F.col("key") == F.col("o_key")) & (F.col("component") != F.col("o_component"))
+                & ((100 + percent) * F.least("most", "o_most") >= percent * (F.col("n") + F.col("o_n"))))
+    rows = materialize(small.join(other, possible, "left_semi")).join(sets, "node")
     sizes = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("largest"))
     minor = rows.join(largest, "key").where("component <> largest")
