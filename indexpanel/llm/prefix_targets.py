@@ -1,9 +1,10 @@
 """Chat formatting by prefix-target expansion. DataFrame functions only.
 
 Every assistant turn becomes an example of its own: all turns before it are its context, and only its reply is trainable.
-Examples of a conversation share their contexts, so an example holds a segment: the turns after the previous reply and its
-own reply. Its whole text is the segments of the conversation's examples up to its own (`examples` joins them); the output
-grows with the turns, not with their square. Turns after the last reply form a segment without a target.
+Examples of a conversation share their contexts, so they are kept as segments: the turns after the previous reply and the
+example's own reply. `examples` writes every example out, the segments of its conversation up to its own; that output grows
+with the square of a conversation's turns, the segments with the turns. Turns after the last reply form a segment without a
+target. `read_back` takes everything from the texts written out.
 
 A turn is written as <|im_start|>role, a line break, the text, <|im_end|> and a line break. In roles and texts a backslash
 stands before every backslash and before the bar of every <|, and before a line break in a role; `unescaped` takes them off.
@@ -66,27 +67,40 @@ def segments(conversations: DataFrame) -> DataFrame:
     return gathered.select("conv_id", F.posexplode(state).alias("example", "s")).select("conv_id", "example", "s.*")
 
 
+def written(parts: DataFrame) -> DataFrame:
+    """conv_id, example, text, loss_start, loss_end, last: the examples written out, each with its whole context and the places
+    of its target in it; then the turns after the last reply, alone and without a target. last holds of a conversation's last
+    example."""
+    turns = Window.partitionBy("conv_id").orderBy("example")
+    so_far = F.collect_list("segment").over(turns.rowsBetween(Window.unboundedPreceding, 0))
+    following = F.lead("loss_end").over(turns)
+    rows = parts.select("conv_id", "example", "segment", "context_chars", "loss_start", "loss_end",
+                        so_far.alias("so_far"), following.alias("following"))
+    target = F.col("loss_end").isNotNull()
+    return rows.select("conv_id", "example", F.when(target, F.array_join("so_far", "")).otherwise(F.col("segment")).alias("text"),
+                       (F.col("context_chars") + F.col("loss_start")).alias("loss_start"),
+                       (F.col("context_chars") + F.col("loss_end")).alias("loss_end"),
+                       (target & F.col("following").isNull()).alias("last"))
+
+
 def examples(parts: DataFrame) -> DataFrame:
     """conv_id, example, text, loss_start, loss_end: the examples written out, each with its whole context."""
-    so_far = Window.partitionBy("conv_id").orderBy("example").rowsBetween(Window.unboundedPreceding, 0)
-    whole = parts.select("conv_id", "example", F.array_join(F.collect_list("segment").over(so_far), "").alias("text"),
-                         (F.col("context_chars") + F.col("loss_start")).alias("loss_start"),
-                         (F.col("context_chars") + F.col("loss_end")).alias("loss_end"))
-    return whole.where(F.col("loss_end").isNotNull())
+    return written(parts).where(F.col("loss_end").isNotNull()).drop("last")
 
 
 def read_back(parts: DataFrame) -> DataFrame:
-    """conv_id, turns (role, text), replies (the texts under the loss mask) and formatted_chars, from segments alone."""
-    loss = F.expr("substring(segment, cast(loss_start + 1 as int), cast(loss_end - loss_start as int))")
-    size = F.when(F.col("loss_end").isNotNull(), F.col("context_chars") + F.char_length("segment"))
-    got = parts.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("example", "segment", loss.alias("loss")))).alias("parts"),
-        F.sum(F.coalesce(size, F.char_length("segment").cast("long"))).alias("formatted_chars"))
-    whole = F.array_join(F.transform("parts", lambda p: p["segment"]), "")
-    pieces = F.split(whole, r"<\|im_end\|>\n", -1)
-    written = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    """conv_id, turns (role, text), replies (the texts under the loss masks) and formatted_chars, all from the texts written out:
+    the turns from the last example and those after it, a reply from each example, the characters from every text."""
+    loss = F.expr("substring(text, cast(loss_start + 1 as int), cast(loss_end - loss_start as int))")
+    whole = F.when(F.col("last") | F.col("loss_end").isNull(), F.col("text"))
+    got = written(parts).select("conv_id", F.struct("example", loss.alias("loss"), whole.alias("whole")).alias("part"),
+                                F.char_length("text").cast("long").alias("chars"))
+    got = got.groupBy("conv_id").agg(F.sort_array(F.collect_list("part")).alias("parts"), F.sum("chars").alias("formatted_chars"))
+    joined = F.array_join(F.transform("parts", lambda p: p["whole"]), "")
+    pieces = F.split(joined, r"<\|im_end\|>\n", -1)
+    ended = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
     head = r"(?s)\A<\|im_start\|>((?:[^\\\n]|\\.)*)\n(.*)\z"
-    turns = F.transform(written, lambda w: F.struct(
+    turns = F.transform(ended, lambda w: F.struct(
         unescaped(F.regexp_extract(w, head, 1)).alias("role"), unescaped(F.regexp_extract(w, head, 2)).alias("text")))
     replies = F.transform(F.filter("parts", lambda p: p["loss"].isNotNull()), lambda p: unescaped(p["loss"]))
     return got.select("conv_id", turns.alias("turns"), replies.alias("replies"), "formatted_chars")

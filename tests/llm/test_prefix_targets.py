@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from indexpanel.llm import prefix_targets as p
 
@@ -46,6 +47,22 @@ def test_examples_have_all_preceding_turns_and_one_target(spark):
     assert got[1].text == first + "<|im_start|>user\nv<|im_end|>\n<|im_start|>assistant\nb<|im_end|>\n"
 
 
+def test_read_back_takes_all_from_the_examples_written_out(spark):
+    rows = [(1, 0, "user", "u"), (1, 1, "assistant", "one"), (1, 2, "user", "v"), (1, 3, "assistant", "two"), (1, 4, "user", "w"),
+            (2, 0, "user", "alone")]
+    parts = p.segments(spark.createDataFrame(rows, SCHEMA))
+    made = p.examples(parts).collect()
+    tails = parts.where("loss_end is null").collect()
+    right = {r.conv_id: r for r in p.read_back(parts).collect()}
+    for c in (1, 2):
+        assert right[c].formatted_chars == sum(len(r.text) for r in made if r.conv_id == c) + sum(
+            len(r.segment) for r in tails if r.conv_id == c)
+    # Places that are off by one in the examples must show in the replies, and no count is taken from them.
+    off = {r.conv_id: r for r in p.read_back(parts.withColumn("context_chars", F.col("context_chars") + 1)).collect()}
+    assert list(right[1].replies) == ["one", "two"] and list(off[1].replies) == ["ne<", "wo<"]
+    assert off[1].formatted_chars == right[1].formatted_chars and off[1].turns == right[1].turns
+
+
 def test_long_conversation_stays_linear(spark):
     rows = [(1, i, "user" if i % 2 == 0 else "assistant", f"text {i}") for i in range(3000)]
     parts = p.segments(spark.createDataFrame(rows, SCHEMA))
