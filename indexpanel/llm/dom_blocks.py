@@ -10,7 +10,12 @@ from dataclasses import dataclass, field
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr br".split())
-SILENT = frozenset("script style template noscript head title svg math textarea select object iframe canvas".split())
+MATH = frozenset("math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+                 "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics annotation "
+                 "annotation-xml".split())
+INLINE |= MATH
+SILENT = frozenset("script style template head title svg textarea select object iframe canvas".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSES = {"p": frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
                          "hr main menu nav ol p pre section table ul".split()),
           "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"]),
@@ -57,8 +62,20 @@ def _element(tag: str, attributes: str) -> Element:
     return Element(tag, frozenset(names), label)
 
 
+def _ended_head(stack: list[Element]) -> int:
+    """Takes an open head off the stack if nothing but noscript is open in it; returns how many silent elements that ends."""
+    i = len(stack) - 1
+    while i >= 0 and stack[i].tag == "noscript":
+        i -= 1
+    if i < 0 or stack[i].tag != "head":
+        return 0
+    del stack[i:]
+    return 1
+
+
 def blocks_of(page: str | None) -> list[Block]:
-    """Blocks with text in page order; comments, scripts, styles and the head give none."""
+    """Blocks with text in page order; comments, scripts, styles and the head give none. A head without an end tag ends
+    at the first text or start tag that isn't head content."""
     page = page or ""
     out: list[Block] = []
     stack: list[Element] = []
@@ -67,6 +84,8 @@ def blocks_of(page: str | None) -> list[Block]:
     while at < len(page):
         m = TAG.search(page, at)
         text = page[at:m.start()] if m else page[at:]
+        if text and silent and not text.isspace():
+            silent -= _ended_head(stack)
         if text and not silent and (now is not None or not text.isspace()):
             if now is None:
                 now = Block(tuple(e for e in stack if e.tag not in INLINE))
@@ -97,6 +116,8 @@ def blocks_of(page: str | None) -> list[Block]:
                 if tag in INLINE and stack[i].tag not in INLINE:
                     break  # an inline end tag closes nothing beyond its block
             continue
+        if silent and tag not in IN_HEAD:
+            silent -= _ended_head(stack)
         if tag not in INLINE:
             while stack and stack[-1].tag in INLINE and any(tag in CLOSES.get(e.tag, ()) for e in stack[-8:]):
                 links -= stack.pop().tag == "a"
@@ -105,7 +126,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag == "body":
             silent = links = 0
             stack = [e for e in stack if e.tag == "html"]
-        if tag in VOID or m[3].endswith("/") and tag in SILENT:
+        if tag in VOID or m[3].endswith("/") and (tag in SILENT or tag in MATH):
             continue
         if tag in RAW:
             end = RAW[tag].search(page, at)

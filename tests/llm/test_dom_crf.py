@@ -40,6 +40,29 @@ def test_blocks_close_what_html_closes():
         "a", "b c", "d", "e", "f", "g", "h", "<k> 1 < 2"]
 
 
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>T</title><article><h1>H</h1><p>{PROSE}</p></article></html>",
+    f"<html><title>T</title><article><h1>H</h1><p>{PROSE}</article>",
+    f'<head><meta charset="utf-8"><style>p{{}}</style><article><h1>H<!-- x --></h1><p>{PROSE}</p></article>',
+    f'<html><head><noscript><link rel="x"><img src="y"></noscript><script>var a</script><article><h1>H</h1><p>{PROSE}</p></article>',
+    f"<html><head><title>T</title></head><article><h1>H</h1><p>{PROSE}</p></article>",
+])
+def test_pages_without_end_of_head_and_body(model, page):
+    assert d.main_text(page, *model) == f"H\n{PROSE}"
+
+
+def test_head_ends_at_text_and_holds_only_head_content():
+    page = "<head><title>T</title><template><p>a</p></template>\n<style>b</style>c<p>d</p></head><p>e"
+    assert [b.text for b in blocks_of(page)] == ["c", "d", "e"]
+
+
+def test_text_in_math_and_noscript_is_kept(model):
+    page = (f"<article><p>{PROSE} So <math><mi>x</mi><mspace/><mo>=</mo><mn>2</mn></math> holds.</p>"
+            f"<noscript><p>{PROSE}</p></noscript></article>")
+    assert [b.text for b in blocks_of(page)] == [f"{PROSE} So x=2 holds.", PROSE]
+    assert d.main_text(page, *model) == f"{PROSE} So x=2 holds.\n{PROSE}"
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "</p></p>", "<!-- open", "<script>x", "<p></p>", "<a href='x", "\x00"])
 def test_odd_pages_do_not_fail(model, page):
     assert isinstance(d.main_text(page, *model), str)
