@@ -9,6 +9,9 @@ replaces live-looking values and leaves copied examples.
 The count of a value goes over (value, owner, repository) first, so that copies are summed where they lie and a value with
 a third of all rows costs a row per owner and repository.
 
+The columns that name owners and repositories are the caller's. By default the source is the owner, and no column is taken for
+a repository: values are then judged by their owners alone.
+
 Defined results: null text counts as empty; null owners or repositories are no owner and no repository, and a value without
 any counts as owned by one; repeated rows have the same owner; empty tables give empty results; any columns may stand beside.
 """
@@ -17,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -118,19 +121,26 @@ def span_text(spans: Column) -> Column:
         ":", kind_name(s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def spans(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang"),
-          text: str = "text") -> DataFrame:
+def repository_of(columns: Sequence[str]) -> Column:
+    """One string over the columns of `row` that name a repository; null if all of them are or there are none."""
+    parts = [F.col("row")[c] for c in columns]
+    if not parts:
+        return F.lit(None).cast("string")
+    named = F.to_json(F.struct(*[p.alias(f"r{i}") for i, p in enumerate(parts)]))
+    return F.when(F.coalesce(*[p.cast("string") for p in parts]).isNotNull(), named)
+
+
+def spans(docs: DataFrame, owner: str = "source", repository: Sequence[str] = (), text: str = "text") -> DataFrame:
     """row and its spans (empty where it has none)."""
     clean, hits = scanned(docs, text)
-    found = judged(hits, F.col("row")[owner], F.to_json(F.struct(*[F.col("row")[c].alias(f"r{i}")
-                                                                     for i, c in enumerate(repository)])))
+    found = judged(hits, F.col("row")[owner], repository_of(repository))
     joined = hits.select("number", "row").join(found, "number", "left")
     empty = F.array().cast(found.schema["spans"].dataType)
     return joined.select("row", F.coalesce("spans", empty).alias("spans")).unionAll(clean.select("row", empty.alias("spans")))
 
 
-def redacted(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang"),
-             text: str = "text", length: str = "n_chars") -> DataFrame:
+def redacted(docs: DataFrame, owner: str = "source", repository: Sequence[str] = (), text: str = "text",
+             length: str = "n_chars") -> DataFrame:
     """docs with each live-looking value replaced by MARK in the text, and the length column set anew where it changes."""
     rows = spans(docs, owner, repository, text)
     live = F.filter("spans", lambda s: ~s["copied"])

@@ -57,6 +57,17 @@ def test_ownership_counts_owners_once(spark):
     assert got == {"h": (1, 1, 50, False), "g": (5, 1, 5, True), "n": (0, 0, 1, False)}
 
 
+def test_languages_are_no_repositories(spark):
+    """A credential of two sources in three languages each is live; columns that name repositories count if given."""
+    value, bare = "fedcba9876543210fedcba9876", "Zx9KqLm2Rt7VbN4pQw8YcD3f"
+    rows = [(f"token = {value} and {bare} end", lang, source, f"{source}/{lang}") for source in ("s0", "s1") for lang in ("a", "b", "c")]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string, repo string")
+    assert {r.text for r in s.redacted(docs).collect()} == {"token = <SECRET> and <SECRET> end"}
+    assert {r.text for r in s.redacted(docs, repository=["repo"]).collect()} == {rows[0][0]}
+    unnamed = docs.withColumn("repo", F.lit(None).cast("string"))
+    assert {x["repositories"] for r in s.spans(unnamed, repository=["repo"]).collect() for x in r.spans} == {0}
+
+
 def test_empty_table_and_column_names(spark, no_docs):
     assert s.redacted(no_docs).count() == 0
     odd = spark.createDataFrame([("token = abcdefgh", "en", "s", 1, "x")], ["text", "lang", "source", "a b.c", "found"])
