@@ -1,8 +1,8 @@
 """Mixing sources to target weights: iterative proportional fitting, then sampling by calibrated probabilities.
 
 Documents are counted into cells (source, language, topic) with their tokens. Raking multiplies the token weights of cells
-by the ratio of target to fitted marginal, one dimension after the other, until every marginal is within `tolerance` of its
-target. Targets are tables (value, share); without one, a dimension's target is the tempered marginal: shares to the power
+by the ratio of target to fitted marginal, one dimension after the other, until every marginal is within TOLERANCE of its
+target, or, where no weights meet all targets, until the largest gap stops falling; a gap that remains is logged. Targets are tables (value, share); without one, a dimension's target is the tempered marginal: shares to the power
 of `temper`, which lifts small sources, languages and topics. Cells that the targets give weight are sampled at
 p = min(1, scale * fitted weight / tokens); the scale is calibrated so that the expected tokens meet the budget. A
 document stays when the hash of its id and text, as a number in [0, 1), is below p, so the sample is the same in every run.
@@ -17,6 +17,8 @@ ones in proportion; values without a target get weight 0; an empty table gives a
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +28,10 @@ DIMENSIONS = ("source", "lang", "topic")
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.9}
 BUDGET = 0.5  # tokens wanted, as a share of all tokens
 TOLERANCE = 1e-6
-ROUNDS = 30  # a bound for targets that no weights meet
+PATIENCE = 5  # rounds without a smaller gap after which it counts as no longer falling
 CALIBRATIONS = 30
 SEED = 17
+LOG = logging.getLogger(__name__)
 
 
 def topic_of(text: Column) -> Column:
@@ -73,7 +76,8 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame] | None = None) -> Data
     given = targets or {}
     goals = {d: materialize(_targets(cells, d, given.get(d))) for d in DIMENSIONS}
     now = materialize(cells.where("tokens > 0").withColumn("weight", F.col("tokens")))
-    for _ in range(ROUNDS):
+    least, since = float("inf"), 0
+    while True:
         fitted = now
         for d in DIMENSIONS:
             sums = fitted.groupBy(F.col(d).alias("value")).agg(F.sum("weight").alias("s"))
@@ -92,8 +96,11 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame] | None = None) -> Data
         discard(now)
         now = after
         if off <= TOLERANCE:
-            break
-    return now
+            return now
+        least, since = (off, 0) if off < least * (1 - TOLERANCE) else (least, since + 1)
+        if since == PATIENCE:
+            LOG.warning("no weights found that meet all targets: a share is off by %.3g", off)
+            return now
 
 
 def calibrated(weights: DataFrame, budget: float = BUDGET) -> DataFrame:

@@ -87,3 +87,23 @@ def test_values_without_a_target_get_nothing(spark):
     only = {"source": spark.createDataFrame([("s0", 1.0)], "value string, share double")}
     rows = m.mixed(docs, only, budget=0.2).collect()
     assert {r.source for r in rows if r.kept} == {"=s0"} and all(r.weight == 0 for r in rows if r.source != "=s0")
+
+
+def fitted(spark, cells, langs):
+    """Shares of the languages after raking to halves of the sources and the shares given."""
+    rows = [(f"={a}", f"={b}", "=t", n) for a, b, n in cells]
+    shares = {"source": [("a", 0.5), ("b", 0.5)], "lang": langs}
+    targets = {d: spark.createDataFrame(v, "value string, share double") for d, v in shares.items()}
+    out = m.raked(spark.createDataFrame(rows, "source string, lang string, topic string, tokens double"), targets)
+    return {d: {r[0][1:]: r.s for r in out.groupBy(d).agg(F.sum("weight").alias("s")).collect()} for d in shares}
+
+
+def test_targets_that_converge_slowly_are_met(spark, caplog):
+    got = fitted(spark, [("a", "x", 1000.0), ("b", "x", 1.0), ("b", "y", 1000.0)], [("x", 0.57), ("y", 0.43)])
+    assert got["source"]["a"] == pytest.approx(0.5, abs=2e-6) and got["lang"]["x"] == pytest.approx(0.57, abs=2e-6)
+    assert not caplog.records
+
+
+def test_a_gap_that_remains_is_logged(spark, caplog):
+    fitted(spark, [("a", "x", 10.0), ("b", "y", 10.0)], [("x", 0.7), ("y", 0.3)])
+    assert "off by 0.2" in caplog.text
