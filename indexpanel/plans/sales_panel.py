@@ -57,8 +57,8 @@ def sales_cells(
 ) -> DataFrame:
     """value and quantity per (keys, ordinal), exact.
 
-    Line items whose order, part or place isn't there have no cell under any key: the joins that a grain doesn't need
-    are left out only because the tables' keys hold (fk_orphans and unmatched_keys report where they don't).
+    Line items whose order isn't there have no cell. Those whose part or place isn't there have none at grains by part or
+    by region, whose joins drop them, and count at all other grains, which make no such join; totals differ by them.
     """
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey",
