@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,21 +20,50 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where unset, as in tests, one of this session."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of spark.checkpoint.dir, or the context's checkpoint folder. Where neither is set, a session of one machine
+    gets one of its own; a cluster, whose executors share no local folder, is refused."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="llm-checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="llm-checkpoints-"))
+        found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
+_scratch: ContextVar[list[DataFrame] | None] = ContextVar("scratch", default=None)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Writes the rows to the shared folder and reads them again: short lineage that outlives any executor, and a size
     that Spark knows when it plans a join."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if (held := _scratch.get()) is not None:
+        held.append(table)
+    return table
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes at its end the tables materialized inside, but for those written by the function it gives."""
+    outer, mine, kept = _scratch.get(), [], []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(materialize(df))
+        return kept[-1]
+
+    token = _scratch.set(mine)
+    try:
+        yield keep
+    finally:
+        _scratch.reset(token)
+        discard(*[t for t in mine if not any(t is k for k in kept)])
+        if outer is not None:
+            outer.extend(kept)
 
 
 _shipped: set[str] = set()

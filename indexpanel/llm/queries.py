@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from indexpanel.llm import (
     dom_crf,
+    filter_audit,
     histogram_sort,
     mixing,
     near_dedup,
@@ -250,3 +251,40 @@ SELECT record_id, url, CAST(ts AS BIGINT) AS ts,
     list_filter(rh, lambda h: NOT list_contains(names, string_split(h, ':')[1])), headers)), chr(10)) END AS headers
 FROM v
 """
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every filter keeps, removes and repeats at every step of every order, per source."""
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM t),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, {
+        'A': len(ws) < 200, 'B': 100 * len(list_distinct(ws)) < 50 * len(ws),
+        'C': 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t),
+        'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(w.doc_id > first, false)} AS f FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+d AS (SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'],
+        lambda x: CASE x WHEN 'A' THEN f.A WHEN 'B' THEN f.B WHEN 'C' THEN f.C WHEN 'D' THEN f.D ELSE f.E END) AS failed FROM m),
+g AS (SELECT part, good, toxic, failed, count(*) AS n FROM d GROUP BY ALL),
+x(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.l || b.l || c.l || d.l || e.l AS o FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+s AS (SELECT o, k, substr(o, k, 1) AS l, string_split(left(o, k - 1), '') AS earlier FROM o, range(1, 6) r(k)),
+r AS (SELECT part, o, k, l, n, good, toxic, list_contains(failed, l) AS bad, list_has_any(failed, earlier) AS gone,
+        len(failed) = 1 AS only_one FROM s, g),
+a AS (SELECT part, o, k, l, sum(n) FILTER (NOT bad AND NOT gone) AS kept, sum(n) FILTER (bad AND NOT gone) AS removed,
+        sum(n) FILTER (bad AND gone) AS redundant, sum(n) FILTER (bad AND only_one) AS unique_fails,
+        sum(n) FILTER (bad AND NOT gone AND good = 1) AS good_lost, sum(n) FILTER (bad AND NOT gone AND toxic = 1) AS toxic_lost
+      FROM r GROUP BY part, o, k, l)
+SELECT part, o AS filter_order, CAST(k AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+  CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+  CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, l), 0) AS BIGINT) AS shapley
+FROM a
+"""
