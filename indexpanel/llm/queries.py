@@ -11,6 +11,7 @@ from indexpanel.llm import (
     dom_crf,
     filter_audit,
     histogram_sort,
+    merkle_manifest,
     mixing,
     near_dedup,
     prefix_targets,
@@ -288,3 +289,49 @@ SELECT part, o AS filter_order, CAST(k AS INTEGER) AS step, CAST(coalesce(kept,
   CAST(coalesce(sum(removed) OVER (PARTITION BY part, l), 0) AS BIGINT) AS shapley
 FROM a
 """
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that a leaf of possibly tampered fields leads to."""
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = F.crc32(columns[0].cast("string")) % 7 == 0
+    changed = merkle_manifest.leaf_hash(*columns[:3], columns[3] + 1, columns[4])
+    rows = merkle_manifest.manifest(table(spark, sf_dir, "documents"), merkle_manifest.leaf_hash(*columns),
+                                    claim=F.when(tampered, changed))
+    root = merkle_manifest.folded(F.coalesce("claim", "leaf"), F.col("proof"))
+    return rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+                       merkle_manifest.siblings_hash(F.col("proof")).alias("proof_sha256"), root.alias("folded_root")
+                       ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_FIELDS = ("doc_id", "source", "lang", "n_chars{add}", "text")
+_LEAF = " || ".join(
+    "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END".replace("{0}", f) for f in _FIELDS)
+ORACLES["op11_merkle_manifest"] = rf"""
+WITH RECURSIVE z AS (SELECT row_number() OVER () AS rid, doc_id, lang, sha256({_LEAF.replace('{add}', '')}) AS leaf,
+        sha256({_LEAF.replace('{add}', ' + 1')}) AS changed,
+        list_reduce(string_split(CAST(doc_id AS VARCHAR), ''), lambda c, d: list_reduce(range(8),
+          lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(c, CAST(ascii(d) AS BIGINT))), 4294967295) AS crc
+      FROM documents),
+d AS MATERIALIZED (SELECT rid, doc_id, coalesce('x' || lang, '') AS g, leaf,
+        CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN changed ELSE leaf END AS claim,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM z),
+low(g, level, pos, h, n) AS (SELECT g, 0, pos, leaf, count(*) OVER (PARTITION BY g) FROM d UNION ALL
+  SELECT g, any_value(level) + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2) FROM low WHERE n > 1 GROUP BY g, pos // 2),
+sub AS MATERIALIZED (SELECT g, h, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, max(level) AS level FROM low WHERE n = 1 GROUP BY g, h),
+high(level, pos, h, n) AS (SELECT 0, pos, h, (SELECT count(*) FROM sub) FROM sub UNION ALL
+  SELECT any_value(level) + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2) FROM high WHERE n > 1 GROUP BY pos // 2),
+steps AS (SELECT d.rid, s.level, CASE WHEN s.pos % 2 = 0 THEN 'l' ELSE 'r' END AS side, s.h FROM d JOIN low s
+      ON s.g = d.g AND s.pos = xor(d.pos // CAST(pow(2, s.level) AS BIGINT), 1)
+  UNION ALL SELECT d.rid, sub.level + s.level, CASE WHEN s.pos % 2 = 0 THEN 'l' ELSE 'r' END, s.h FROM d JOIN sub USING (g) JOIN high s
+      ON s.pos = xor(sub.pos // CAST(pow(2, s.level) AS BIGINT), 1)),
+top AS (SELECT max(h) FILTER (n = 1) AS root, max(level) AS height FROM high),
+wanted AS (SELECT d.rid, k AS level FROM d JOIN sub USING (g), top, range(0, 70) r(k) WHERE k < sub.level + top.height),
+every AS (SELECT rid, level, coalesce(side, 'n') AS side, coalesce(h, '') AS h FROM wanted LEFT JOIN steps USING (rid, level)),
+proofs AS (SELECT rid, list(side || h ORDER BY level) AS p, string_agg(h, '' ORDER BY level) AS siblings FROM every GROUP BY rid),
+f AS (SELECT d.*, sub.h AS subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, list_reduce(coalesce(p, []), lambda x, s:
+        sha256(CASE left(s, 1) WHEN 'l' THEN substr(s, 2) || x ELSE x || substr(s, 2) END), claim) AS folded_root
+      FROM d JOIN sub USING (g) LEFT JOIN proofs USING (rid), top)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f
+"""
