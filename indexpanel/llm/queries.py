@@ -19,6 +19,7 @@ from indexpanel.llm import (
     residual_packing,
     revisits,
     secret_ownership,
+    toxicity,
     weighted_sampling,
 )
 from indexpanel.llm.common import table
@@ -254,6 +255,16 @@ FROM v
 """
 
 
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of held-out documents are not learned from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = toxicity.fit(docs, labels.where(~held_out))
+    rows = toxicity.scored(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return rows.select("row.*", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every filter keeps, removes and repeats at every step of every order, per source."""
