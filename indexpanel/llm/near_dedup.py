@@ -12,7 +12,8 @@ one by one, inside the join. So copies cost one comparison each, no link between
 
 Defined results: null text and text without words have an empty set and are linked with nothing; a text shorter than a
 shingle is one shingle; rows with a null id belong to components but give them no id; repeated rows are copies; empty
-tables give empty results. Only the columns named are read, so other columns cannot clash.
+tables give empty results; texts of any length are hashed whole, in parts of bounded size. Only the columns named are read, so
+other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indexpanel.llm import setsketch
-from indexpanel.llm.common import map_arrow, materialize, packed, quoted, unpacked
+from indexpanel.llm.common import map_arrow, materialize, packed, quoted, scratch, unpacked
 from indexpanel.llm.components import components
 from indexpanel.llm.word_hash import batches_by_bytes, byte_values, hashed_words, mix
 
@@ -63,7 +64,7 @@ def shingle_sets(texts: list[bytes | None], size: int) -> tuple[np.ndarray, np.n
     return shingles[kept], owner[kept]
 
 
-SIGNATURE = "row long, id long, text_hash long, n int, set_hash binary, registers binary"
+SIGNATURE = "id long, text_hash long, n int, set_hash binary, registers binary"
 
 
 def _signatures(size: int):
@@ -79,9 +80,9 @@ def _sketched(rows: pa.RecordBatch, shingles: np.ndarray, owner: np.ndarray) ->
     sets = np.split(shingles, np.cumsum(n)[:-1])
     found = setsketch.registers(shingles, owner, rows.num_rows)
     return pa.RecordBatch.from_arrays([
-        rows.column("row"), rows.column("id"), rows.column("text_hash"), pa.array(n, pa.int32()),
+        rows.column("id"), rows.column("text_hash"), pa.array(n, pa.int32()),
         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-        pa.array([r.tobytes() for r in found], pa.binary())], names=["row", "id", "text_hash", "n", "set_hash", "registers"])
+        pa.array([r.tobytes() for r in found], pa.binary())], names=["id", "text_hash", "n", "set_hash", "registers"])
 
 
 def _sets(size: int):
@@ -124,46 +125,53 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
         return nodes.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("registers").alias(f"r{name}"))
 
     def full(name: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"s{name}"))
+        return needed.select(F.col("node").alias(name), F.col("shingles").alias(f"s{name}"))
 
     likely = pairs.join(side("a"), "a").join(side("b"), "b")
     likely = likely.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     likely = materialize(map_arrow(likely, _promising(percent / 100), "a long, b long"))
+    ends = materialize(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    needed = sets.join(ends, "node", "left_semi")
     both = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - both
     return likely.join(full("a"), "a").join(full("b"), "b").where(100 * both >= percent * union).select("a", "b")
 
 
-def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80,
-            number: str | None = None) -> DataFrame:
+def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80) -> DataFrame:
     """One row per row of docs: row, id, text_hash, n_shingles, component, component_id (its least id), is_first.
 
-    row is the column `number`, or else a number given here; component is the same number for all rows of a component,
-    also without ids; is_first marks one row of each, that of the least id.
+    row is a number given here; component is the same number for all rows of a component, also without ids; is_first marks
+    one row of each, that of the least id. Tables written on the way are deleted before it returns.
     """
-    row = F.col(quoted(number)) if number else F.lit(None).cast("long")
-    source = docs.select(row.alias("row"), F.col(quoted(id)).alias("id"), F.col(quoted(text)).alias("text"))
-    source = source.select("row", "id", F.xxhash64("text").alias("text_hash"), "text")
+    with scratch() as keep:
+        return keep(_grouped(docs, id, text, size, percent))
+
+
+def _grouped(docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
+    source = docs.select(F.col(quoted(id)).alias("id"), F.col(quoted(text)).alias("text"))
+    source = source.select("id", F.xxhash64("text").alias("text_hash"), "text")
     signed = map_arrow(source, _signatures(size), SIGNATURE)
-    signed = materialize(signed.withColumn("row", F.coalesce("row", F.monotonically_increasing_id())))
-    signed_rows = signed.select("row", "id", "text_hash", "n", "set_hash")
+    signed = materialize(signed.withColumn("row", F.monotonically_increasing_id()))
     filled = signed.where("n > 0")
-    first = F.min(F.struct("row", "id", "text_hash", "n", "registers")).alias("x")
-    nodes = materialize(filled.groupBy("set_hash").agg(first).select(
-        F.col("x.row").alias("node"), "set_hash", "x.id", "x.text_hash", "x.n", "x.registers"))
-
-    bands = nodes.select("node", F.explode(_band_keys()).alias("key"))
-    shared = bands.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("centre")).where("c > 1")
-    members = materialize(bands.join(shared.select("key", "centre"), "key").select("key", "node", "centre"))
-    met = materialize(members.select("node").distinct())
-    candidates = materialize(nodes.join(met, "node", "left_semi").select("node", "id", "text_hash", "n", "registers"))
-    wanted = candidates.select("node", F.col("id").alias("wanted_id"), F.col("text_hash").alias("wanted_hash"))
+    # Registers stay out of the shuffle: a set's least row is found without them, and the other rows are the shorter list.
+    first = F.min(F.struct("row", "id", "text_hash", "n")).alias("x")
+    nodes = materialize(filled.groupBy("set_hash").agg(first).select(F.col("x.row").alias("node"), "set_hash", "x.id", "x.text_hash", "x.n"))
+    others = materialize(filled.select("row").join(nodes, filled["row"] == nodes["node"], "left_anti"))
+    bands = filled.join(others, "row", "left_anti").select(F.col("row").alias("node"), F.explode(_band_keys()).alias("key"))
+    shared = bands.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    met = materialize(bands.join(shared.select("key"), "key", "left_semi").select("key", "node"))
+    members = materialize(met.join(met.groupBy("key").agg(F.min("node").alias("centre")), "key").select("key", "node", "centre"))
+    linkable = materialize(members.select("node").distinct())
+    candidates = materialize(filled.withColumnRenamed("row", "node").join(linkable, "node", "left_semi")
+                             .select("node", "id", "text_hash", "n", "registers"))
+    name = ["text_hash", "no_id", "some_id"]  # null-safe in plain columns, so that join and aggregation share one exchange
+    named = [F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0)).alias("some_id")]
+    wanted = candidates.select("node", "text_hash", *named)
     # 32 bits of the wanted hashes leave out nearly all other texts, mostly without a shuffle of the texts.
     few = materialize(candidates.select(F.hash("text_hash").alias("short")).distinct())
-    likely = source.withColumn("short", F.hash("text_hash")).join(few, "short", "left_semi")
-    texts = likely.join(wanted, (F.col("text_hash") == F.col("wanted_hash")) & F.col("id").eqNullSafe(F.col("wanted_id")))
-    sets = materialize(map_arrow(texts.select("node", "text"), _sets(size), "node long, shingles array<long>")
-                       .dropDuplicates(["node"]))
+    likely = source.withColumn("short", F.hash("text_hash")).join(few, "short", "left_semi").select("text_hash", *named, "text")
+    texts = likely.groupBy(*name).agg(F.first("text").alias("text")).join(wanted, name)
+    sets = materialize(map_arrow(texts.select("node", "text"), _sets(size), "node long, shingles array<long>"))
 
     def pairs_of(rows: DataFrame) -> DataFrame:
         return rows.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -178,12 +186,12 @@ def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
         pairs = (open_members.join(centre, "key").where(F.col("component") != F.col("c.component"))
                  .select(F.col("node").alias("x"), F.col("c.node").alias("y")))
         links = materialize(links.unionAll(_verified(pairs_of(pairs), candidates, sets, percent)))
-    links = materialize(links.unionAll(_across(materialize(_open(members, components(links))), sets, percent)))
+    links = materialize(links.unionAll(_across(materialize(_open(members, components(links))), candidates, sets, percent)))
 
     parts = components(links)
     labelled = (nodes.select("node", "set_hash").join(parts, "node", "left")
                 .select("set_hash", F.coalesce("component", "node").alias("component")))
-    rows = materialize(signed_rows.join(labelled, "set_hash", "left")
+    rows = materialize(signed.select("row", "id", "text_hash", "n", "set_hash").join(labelled, "set_hash", "left")
                        .select("row", "id", "text_hash", F.col("n").cast("long").alias("n_shingles"),
                                F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("row")).alias("component")))
     least = rows.groupBy("component").agg(
@@ -195,27 +203,38 @@ def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
 
 
 def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one row of each component, the one with the least id; rows with an empty set all stay.
+    """docs with one row of each component, one with the least id; rows with an empty set all stay.
 
-    The rows are written with a number first, so that equal rows can be told apart.
+    docs is read several times and must be the same each time, as a table is. A row is known by its id and the hash of its
+    text; of rows that agree in both, all of one component, the least row stays.
     """
-    numbered = materialize(packed(docs, number=F.monotonically_increasing_id()))
-    rows = numbered.select("number", F.col("row")[id].alias("id"), F.col("row")[text].alias("text"))
-    # The rows to drop are the shorter list: where Spark can broadcast it, no text is shuffled.
-    copies = grouped(rows, "id", "text", size, percent, number="number").where("not is_first").select(F.col("row").alias("copy"))
-    return unpacked(numbered.join(materialize(copies), F.col("number") == F.col("copy"), "left_anti"), docs.columns)
-
-
-def _across(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    with scratch() as keep:
+        rows = grouped(docs, id, text, size, percent)
+        found = materialize(rows.groupBy("id", "text_hash").agg(F.count("*").alias("n"), F.count_if("is_first").alias("stay")))
+        ids = found.groupBy("id").agg(F.sum("n").alias("n"), F.sum("stay").alias("stay"))
+        # Ids without a row that stays are the shorter list: where Spark can broadcast it, no text is shuffled.
+        gone = keep(ids.where("stay = 0").select(F.col("id").alias("gone")))
+        mixed = ids.where("stay > 0 AND stay < n").select(F.col("id").alias("known_id"))
+        some = found.where("stay < n").withColumnRenamed("text_hash", "known_hash")
+        some = keep(some.join(mixed, F.col("id").eqNullSafe(F.col("known_id"))).select("known_id", "known_hash", "stay"))
+        twins = keep(some.where("stay > 0"))
+    docs_by_name = packed(docs, id=F.col(quoted(id)), text_hash=F.xxhash64(F.col(quoted(text))))
+    same = F.col("id").eqNullSafe(F.col("known_id")) & (F.col("text_hash") == F.col("known_hash"))
+    single = docs_by_name.join(gone, F.col("id").eqNullSafe(F.col("gone")), "left_anti").join(some, same, "left_anti").select("row")
+    least = docs_by_name.join(twins, same, "left_semi").groupBy("id", "text_hash").agg(F.min("row").alias("row")).select("row")
+    return unpacked(single.unionAll(least), docs.columns)
+
+
+def _across(open_members: DataFrame, candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between nodes of one bucket that are still in different components, confirmed on their full sets.
 
     Only shingles that two open nodes have can be in an intersection, so their number bounds it: nodes and pairs whose
     bound is too low are left out first. The confirmation is the condition of the join, so only links come out of it.
     """
-    opened = sets.join(open_members.select("node").distinct(), "node", "left_semi")
+    opened = sets.join(materialize(open_members.select("node").distinct()), "node", "left_semi")
     alone = (opened.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
              .agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1").groupBy("node").agg(F.count("*").alias("own")))
-    able = (opened.select("node", F.size("shingles").alias("n")).join(alone, "node", "left")
+    able = (candidates.select("node", "n").join(alone, "node", "left")
             .select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most"))
             .where(100 * F.col("most") >= percent * F.col("n")))
     # The sets are joined only to nodes whose bound allows a link with some node of another component in the bucket.
@@ -223,10 +242,11 @@ def _across(open_members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     other = small.select(*[F.col(c).alias(f"o_{c}") for c in ("key", "component", "n", "most")])
     possible = ((F.col("key") == F.col("o_key")) & (F.col("component") != F.col("o_component"))
                 & ((100 + percent) * F.least("most", "o_most") >= percent * (F.col("n") + F.col("o_n"))))
-    rows = materialize(small.join(other, possible, "left_semi")).join(sets, "node")
-    sizes = rows.groupBy("key", "component").agg(F.count("*").alias("c"))
+    few = materialize(small.join(other, possible, "left_semi"))
+    sizes = few.groupBy("key", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("largest"))
-    minor = rows.join(largest, "key").where("component <> largest")
+    rows = few.join(sets, "node")
+    minor = few.join(largest, "key").where("component <> largest").join(sets, "node")
     x = minor.select("key", *[F.col(c).alias(f"{c}_x") for c in ("node", "component", "n", "most", "shingles")])
     y = rows.select("key", *[F.col(c).alias(f"{c}_y") for c in ("node", "component", "n", "most", "shingles")])
     bound = F.least("most_x", "most_y")
