@@ -1,18 +1,20 @@
 """Quality rules whose thresholds come from mergeable quantile sketches per language and source. DataFrame functions only.
 
-Four ratios of every text are judged: symbols and exclamation marks per 1,000 characters of words, characters per 100
-words, repeated lines per 1,000 lines. For each (lang, source) a sketch of every ratio is a table of counts per bucket: integers below 64 are their
-own bucket, larger ones keep their five leading bits, so a quantile is exact or at most 1/32 too low. Counts add, so a
-group's sketch is merged from any partition of its rows (partial aggregation does), the sketch of a language from those
-of its sources, the sketch of all from those of the languages. A group of fewer than `support` documents takes the
-thresholds of its language, or else of all documents.
-
-A fence lies `reach` spreads from the group's median, the spread being the distance to the quartile on the far side of the
-fence and at least `least`. The median holds while less than half of a group is junk, however large the group is.
+Four ratios of every text are judged: ASCII punctuation marks per 1,000 characters of words, characters per 100 words, repeated
+lines per 1,000 lines, and words in repeated windows per 1,000 words. For each (lang, source) a sketch of every ratio is a table
+of counts per bucket: integers below 64 are their own bucket, larger ones keep their five leading bits, so a quantile is exact or
+at most 1/32 too low. Counts add, so a group's sketch is merged from any partition of its rows (partial aggregation does), the
+sketch of a language from those of its sources, the sketch of all from those of the languages. Sketched are the documents that
+pass the base rule. A group of fewer than `support` of them takes the thresholds of its language, or else of all documents.
+
+Marks and word length are spread around a median: their fences lie `reach` spreads from the group's median, the spread being the
+distance to the quartile on the far side of the fence. These hold while less than a quarter of a group is junk, however large the
+group is. Repeats are absent from most texts, so there the fence lies as far beyond the 99 % quantile as that lies beyond the
+95 % one; what the base rule rejects takes no part in it. A spread is `least` at least.
 
 Defined results: null text counts as empty; an empty text has no words and fails the base rule; null lang or source is a
 group of its own; an empty table gives an empty result; repeated rows count as often as they occur; columns of the input
-keep their names, whatever they are.
+keep their names, whatever they are; very long texts are counted whole, within their row.
 """
 
 from __future__ import annotations
@@ -21,16 +23,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from indexpanel.llm.common import SPACE_RUN, SPACES, materialize, n_words, packed, quoted, without
+from indexpanel.llm.common import SPACE_RUN, SPACES, materialize, n_words, quoted, scratch, without
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 SUPPORT = 50
+MARKS = r"[!-/:-@\[-`{-~]+"
 # ratio: spreads up to the fence, least spread, whether low values are judged too
-RULES = {"symbols": (6, 8, False), "shouting": (6, 8, False), "word_length": (6, 60, True),
-         "repeated_lines": (6, 80, False)}
+AROUND = {"marks": (8, 2, False), "word_length": (10, 5, True)}
+# ratio: least distance of the fence from the 99 % quantile
+BEYOND = {"repeated_lines": 16, "repeated_words": 16}
+RATIOS = (*AROUND, *BEYOND)
 
 
 def line_counts(text: Column) -> tuple[Column, Column]:
@@ -46,7 +51,7 @@ def cheap_counts(text: Column) -> dict[str, Column]:
         "n_words": n_words(text),
         "word_chars": F.char_length(without(whole, SPACES)).cast("long"),
         "n_symbols": (F.octet_length(whole) - F.octet_length(without(whole, SYMBOLS))).cast("long"),
-        "n_shouts": (F.octet_length(whole) - F.octet_length(without(whole, "!"))).cast("long"),
+        "n_marks": (F.octet_length(whole) - F.octet_length(F.regexp_replace(whole, MARKS, ""))).cast("long"),
         "n_lines": n_lines,
         "n_dup_lines": n_dup_lines,
     }
@@ -87,8 +92,8 @@ def ratios(counts: dict[str, Column]) -> dict[str, Column]:
         scaled = counts[part] * F.lit(scale)
         return F.when(counts[whole] > 0, (scaled - scaled % counts[whole]) / counts[whole]).cast("long")
 
-    return {"symbols": per("n_symbols", 1000, "word_chars"), "shouting": per("n_shouts", 1000, "word_chars"),
-            "word_length": per("word_chars", 100, "n_words"), "repeated_lines": per("n_dup_lines", 1000, "n_lines")}
+    return {"marks": per("n_marks", 1000, "word_chars"), "word_length": per("word_chars", 100, "n_words"),
+            "repeated_lines": per("n_dup_lines", 1000, "n_lines"), "repeated_words": per("n_repeat_words", 1000, "n_words")}
 
 
 def bucket(value: Column) -> Column:
@@ -97,14 +102,24 @@ def bucket(value: Column) -> Column:
     return F.when(value < 64, value).otherwise(value - value % step)
 
 
-def sketches(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
-    """lang, source, ratio, bucket, n over all documents with at least MIN_WORDS words."""
-    counted = docs.select(F.col(quoted(lang)).alias("lang"), F.col(quoted(source)).alias("source"),
-                          *[c.alias(k) for k, c in cheap_counts(F.col(quoted(text))).items()])
-    judged = ratios({k: F.col(k) for k in counted.columns[2:]})
-    pairs = F.array(*[F.struct(F.lit(k).alias("ratio"), bucket(v).alias("bucket")) for k, v in judged.items()])
-    return (counted.where(F.col("n_words") >= MIN_WORDS)
-            .select("lang", "source", F.explode(pairs).alias("p"))
+def measured(docs: DataFrame, row: Column, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
+    """row, lang, source, the counts, base_failed and the ratios of every document."""
+    body = F.col(quoted(text))
+    rows = docs.select(row.alias("row"), F.col(quoted(lang)).alias("lang"), F.col(quoted(source)).alias("source"),
+                       body.alias("text"), *[c.alias(k) for k, c in cheap_counts(body).items()])
+    rows = with_repeat_words(rows, F.col("text"), "n_repeat_words").drop("text")
+    counts = {k: F.col(k) for k in rows.columns[3:]}
+    few = counts["n_words"] < MIN_WORDS
+    repeats = 100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"]
+    return rows.select("*", (few | repeats).alias("base_failed"), *[c.alias(k) for k, c in ratios(counts).items()])
+
+
+def sketches(rows: DataFrame) -> DataFrame:
+    """lang, source, ratio, bucket, n over all measured documents that pass the base rule."""
+    # A filter on base_failed would be pushed below the counts and take their expressions along, many times over.
+    pairs = F.array(*[F.struct(F.lit(k).alias("ratio"), F.when(~F.col("base_failed"), bucket(F.col(k))).alias("bucket")) for k in RATIOS])
+    return (rows.select("lang", "source", F.explode(pairs).alias("p"))
+            .where("p.bucket IS NOT NULL")
             .groupBy("lang", "source", F.col("p.ratio").alias("ratio"), F.col("p.bucket").alias("bucket"))
             .agg(F.count("*").alias("n")))
 
@@ -125,17 +140,18 @@ def fences(sketch: DataFrame, support: int = SUPPORT) -> DataFrame:
         "key", "ratio", "bucket", F.sum("n").over(group).alias("total"),
         F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
 
-    def quantile(quarters: int) -> Column:
-        return F.min(F.when(4 * F.col("upto") >= quarters * F.col("total"), F.col("bucket")))
+    def quantile(percent: int) -> Column:
+        return F.min(F.when(100 * F.col("upto") >= percent * F.col("total"), F.col("bucket"))).alias(f"q{percent}")
 
-    stats = ranked.groupBy("key", "ratio").agg(
-        F.max("total").alias("total"), quantile(1).alias("q1"), quantile(2).alias("q2"), quantile(3).alias("q3"))
+    stats = ranked.groupBy("key", "ratio").agg(F.max("total").alias("total"), *[quantile(p) for p in (25, 50, 75, 95, 99)])
     low, high = F.lit(None).cast("long"), F.lit(None).cast("long")
-    for name, (reach, least, both) in RULES.items():
+    for name, (reach, least, both) in AROUND.items():
         mine = F.col("ratio") == name
-        high = F.when(mine, F.col("q2") + reach * F.greatest(F.col("q2") - F.col("q1"), F.lit(least))).otherwise(high)
+        high = F.when(mine, F.col("q50") + reach * F.greatest(F.col("q50") - F.col("q25"), F.lit(least))).otherwise(high)
         if both:
-            low = F.when(mine, F.col("q2") - reach * F.greatest(F.col("q3") - F.col("q2"), F.lit(least))).otherwise(low)
+            low = F.when(mine, F.col("q50") - reach * F.greatest(F.col("q75") - F.col("q50"), F.lit(least))).otherwise(low)
+    for name, least in BEYOND.items():
+        high = F.when(F.col("ratio") == name, F.col("q99") + F.greatest(F.col("q99") - F.col("q95"), F.lit(least))).otherwise(high)
     stats = stats.select("key", "ratio", "total", low.alias("low"), high.alias("high"))
     wanted = (sketch.select("lang", "source").distinct()
               .select("lang", "source", F.explode(F.array(*[
@@ -146,28 +162,35 @@ def fences(sketch: DataFrame, support: int = SUPPORT) -> DataFrame:
     chosen = (wanted.join(stats, "key").where(fit).groupBy("lang", "source", "ratio")
               .agg(F.min_by(F.struct("low", "high"), "rank").alias("fence")))
     return chosen.groupBy("lang", "source").agg(*[
-        F.first(F.when(F.col("ratio") == name, F.col("fence")), ignorenulls=True).alias(f"fence_{name}") for name in RULES])
+        F.first(F.when(F.col("ratio") == name, F.col("fence")), ignorenulls=True).alias(f"fence_{name}") for name in RATIOS])
 
 
 def judged(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text",
            support: int = SUPPORT) -> DataFrame:
     """Every row as the struct `row`, with the base counts, base_failed, the ratios, and kept."""
-    thresholds = materialize(fences(materialize(sketches(docs, lang, source, text)), support))
-    body = F.col("row")[text]
-    rows = packed(docs, **cheap_counts(F.col(quoted(text))))
-    rows = with_repeat_words(rows, body, "n_repeat_words")
-    counts = {k: F.col(k) for k in rows.columns[1:]}
-    few = counts["n_words"] < MIN_WORDS
-    repeats = 100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"]
-    rows = rows.select("*", (few | repeats).alias("base_failed"), *[c.alias(k) for k, c in ratios(counts).items()])
+    row = F.struct(*[F.col(quoted(c)) for c in docs.columns])
+    with scratch() as keep:
+        thresholds = keep(fences(materialize(sketches(measured(docs, F.lit(0), lang, source, text))), support))
+    return _verdicts(measured(docs, row, lang, source, text), thresholds)
+
+
+def verdicts(docs: DataFrame, carry: list[str], lang: str = "lang", source: str = "source", text: str = "text",
+             support: int = SUPPORT) -> DataFrame:
+    """As judged, with only the columns `carry` in the struct `row`: their measures are written, so texts are read once."""
+    with scratch() as keep:
+        rows = materialize(measured(docs, F.struct(*[F.col(quoted(c)) for c in carry]), lang, source, text))
+        return keep(_verdicts(rows, materialize(fences(sketches(rows), support))))
+
+
+def _verdicts(rows: DataFrame, thresholds: DataFrame) -> DataFrame:
     keys = thresholds.withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    joined = rows.join(keys, F.col("row")[lang].eqNullSafe(F.col("_lang")) & F.col("row")[source].eqNullSafe(F.col("_source")),
-                       "left")
+    joined = rows.join(keys, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     # One sum instead of a conjunction: a filter on `kept` then stays above the join. Pushed below it, a term would take
     # the expressions of all columns that lead to it along, each as often as it is used.
     faults = F.col("base_failed").cast("int")
-    for name in RULES:
+    for name in RATIOS:
         fence = F.col(f"fence_{name}")
         for bad in (F.col(name) < fence["low"], F.col(name) > fence["high"]):
             faults = faults + F.coalesce(bad.cast("int"), F.lit(0))
-    return joined.select("row", *counts, "base_failed", *RULES, (faults == 0).alias("kept"))
+    return joined.select("row", "n_words", "word_chars", "n_symbols", "n_marks", "n_lines", "n_dup_lines", "n_repeat_words",
+                         "base_failed", *RATIOS, (faults == 0).alias("kept"))

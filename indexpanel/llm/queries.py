@@ -37,23 +37,11 @@ def query(fn):
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, symbol, repeated-line and repeated-window counts of every document, and the adaptive verdict."""
     counts = ["word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    judged = quality_rules.judged(table(spark, sf_dir, "documents"))
-    return judged.select(F.col("row.doc_id").alias("doc_id"), "n_words", *counts, "base_failed", "kept")
+    rows = quality_rules.verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
+    return rows.select(F.col("row.doc_id").alias("doc_id"), "n_words", *counts, "base_failed", "kept")
 
 
-def _fence_sql(name: str, reach: int, least: int, both: bool) -> str:
-    low = f"q2 - {reach} * greatest(q3 - q2, {least})" if both else "NULL"
-    return f"WHEN '{name}' THEN {{'low': CAST({low} AS BIGINT), 'high': CAST(q2 + {reach} * greatest(q2 - q1, {least}) AS BIGINT)}}"
-
-
-_FENCES = " ".join(_fence_sql(k, *v) for k, v in quality_rules.RULES.items())
-_ACCEPTED = " AND ".join(
-    f"coalesce({k} >= f.{k}.low, true) AND coalesce({k} <= f.{k}.high, true)" for k in quality_rules.RULES)
-
-_NAMES, _VALUES = ", ".join(f"'{k}'" for k in quality_rules.RULES), ", ".join(quality_rules.RULES)
-_PIVOT = ", ".join(f"any_value(fence) FILTER (ratio = '{k}') AS {k}" for k in quality_rules.RULES)
-
-ORACLES["op1_quality_rules"] = rf"""
+ORACLES["op1_quality_rules"] = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, lang, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
@@ -63,33 +51,35 @@ covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM g JOIN twice USING (rid,
 c AS (SELECT w.rid, doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
         CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-        CAST(length(t) - length(replace(t, '!', '')) AS BIGINT) AS n_shouts,
+        CAST(length(t) - length(regexp_replace(t, '[!-/:-@\[-`{-~]', '', 'g')) AS BIGINT) AS n_marks,
         CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN covered USING (rid)),
-m AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed,
-        CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars END AS symbols,
-        CASE WHEN word_chars > 0 THEN n_shouts * 1000 // word_chars END AS shouting,
+m AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        CASE WHEN word_chars > 0 THEN n_marks * 1000 // word_chars END AS marks,
         CASE WHEN n_words > 0 THEN word_chars * 100 // n_words END AS word_length,
-        CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines END AS repeated_lines FROM c),
-v AS (SELECT lang, source, unnest([{_NAMES}]) AS ratio,
-        unnest([{_VALUES}]) AS v FROM m WHERE n_words >= {quality_rules.MIN_WORDS}),
+        CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines END AS repeated_lines,
+        CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words END AS repeated_words FROM c),
+v AS (SELECT lang, source, unnest(['marks', 'word_length', 'repeated_lines', 'repeated_words']) AS ratio,
+        unnest([marks, word_length, repeated_lines, repeated_words]) AS v FROM m WHERE NOT base_failed),
 b AS (SELECT lang, source, ratio, CASE WHEN v < 64 THEN v
         ELSE v - v % CAST(pow(2, length(bin(v)) - 6) AS BIGINT) END AS bucket FROM v),
 keyed AS (SELECT 0 AS rank, lang AS l, source AS s, ratio, bucket FROM b UNION ALL
           SELECT 1, lang, NULL, ratio, bucket FROM b UNION ALL SELECT 2, NULL, NULL, ratio, bucket FROM b),
-hist AS (SELECT rank, l, s, ratio, bucket, count(*) AS n FROM keyed GROUP BY ALL),
-cum AS (SELECT *, sum(n) OVER (PARTITION BY rank, l, s, ratio) AS total,
-          sum(n) OVER (PARTITION BY rank, l, s, ratio ORDER BY bucket) AS upto FROM hist),
-q AS (SELECT rank, l, s, ratio, max(total) AS total, min(bucket) FILTER (4 * upto >= total) AS q1,
-        min(bucket) FILTER (4 * upto >= 2 * total) AS q2, min(bucket) FILTER (4 * upto >= 3 * total) AS q3
-      FROM cum GROUP BY rank, l, s, ratio),
-x AS (SELECT *, CASE ratio {_FENCES} END AS fence FROM q WHERE rank = 2 OR total >= {quality_rules.SUPPORT}),
+q AS (SELECT rank, l, s, ratio, count(*) AS total, quantile_disc(bucket, 0.25) AS q25, quantile_disc(bucket, 0.5) AS q50,
+        quantile_disc(bucket, 0.75) AS q75, quantile_disc(bucket, 0.95) AS q95, quantile_disc(bucket, 0.99) AS q99
+      FROM keyed GROUP BY rank, l, s, ratio),
+x AS (SELECT rank, l, s, ratio, {
+        'low': CASE ratio WHEN 'word_length' THEN q50 - 10 * greatest(q75 - q50, 5) END,
+        'high': CASE ratio WHEN 'marks' THEN q50 + 8 * greatest(q50 - q25, 2) WHEN 'word_length' THEN q50 + 10 * greatest(q50 - q25, 5)
+                ELSE q99 + greatest(q99 - q95, 16) END} AS fence FROM q WHERE rank = 2 OR total >= 50),
 own AS (SELECT g.lang, g.source, x.ratio, arg_min(fence, rank) AS fence FROM (SELECT DISTINCT lang, source FROM b) g
         JOIN x ON rank = 2 OR (l IS NOT DISTINCT FROM g.lang AND (rank = 1 OR s IS NOT DISTINCT FROM g.source)) GROUP BY ALL),
-f AS (SELECT lang, source, {_PIVOT} FROM own GROUP BY ALL)
-SELECT doc_id, n_words, m.word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND {_ACCEPTED.replace('coalesce(', 'coalesce(m.')} AS kept
-FROM m LEFT JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
+j AS (SELECT rid, count(*) AS faults FROM (SELECT rid, lang, source, unnest(['marks', 'word_length', 'repeated_lines', 'repeated_words']) AS ratio,
+        unnest([marks, word_length, repeated_lines, repeated_words]) AS v FROM m) e JOIN own ON own.ratio = e.ratio
+        AND own.lang IS NOT DISTINCT FROM e.lang AND own.source IS NOT DISTINCT FROM e.source
+      WHERE v < fence.low OR v > fence.high GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND faults IS NULL AS kept
+FROM m LEFT JOIN j USING (rid)
 """
 
 

@@ -67,3 +67,33 @@ def test_sketch_merges_and_bounds_its_error(spark):
 def test_no_python_in_the_plan(odd_docs):
     plan = q.judged(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_fences_differ_between_groups(spark):
+    """On the given table, at least three ratios have other fences in other groups."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = q.measured(docs, F.lit(0))
+    found = q.fences(q.sketches(rows)).collect()
+    highs = {name: {r[f"fence_{name}"].high for r in found} for name in q.RATIOS}
+    assert sum(len(v) >= 3 for v in highs.values()) >= 3, highs
+    assert len({r.fence_word_length.low for r in found}) >= 3
+    assert len(found) == docs.select("lang", "source").distinct().count()
+
+
+def test_repeats_are_judged_by_their_group(spark):
+    """A text with a third of its lines repeated goes where nobody repeats lines, and stays where many do."""
+    def text(i: int, repeats: int) -> str:
+        lines = [" ".join(f"w{i:04}x{k}y{w}" for w in range(6)) for k in range(8 - repeats)]
+        return "\n".join(lines + lines[:repeats])
+
+    rows = [(i, text(i, 0), "en", "flat") for i in range(300)] + [(400 + i, text(400 + i, 2 * (i % 10 == 0)), "en", "song") for i in range(300)]
+    rows += [(900, text(900, 2), "en", "flat"), (901, text(901, 2), "en", "song")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.row.doc_id: r.kept for r in q.judged(docs).collect()}
+    assert not kept.pop(900) and all(kept.values())
+
+
+def test_verdicts_equal_judged(odd_docs):
+    def key(rows):
+        return sorted(str((r.row.doc_id, r.n_words, r.n_marks, r.base_failed, r.kept)) for r in rows.collect())
+    assert key(q.verdicts(odd_docs, ["doc_id"])) == key(q.judged(odd_docs))
