@@ -1,7 +1,9 @@
 """From raw documents to packed training sequences: STAGES in order, each over all rows that the one before it kept.
 
 Every stage takes (spark, docs, sf_dir); all but the last return the columns of documents. A stage's result is written as
-Parquet to the shared folder and read again as the next one's docs, so a lost executor costs a part of one stage.
+Parquet to the shared folder and read again as the next one's docs, so a lost executor costs a part of one stage; it is deleted
+once the next one is written. What the stages do with nulls, empty and very long texts, ties, repeated rows, empty tables and
+clashing column names is stated by the operators they call: such rows are judged, kept or dropped like any other, whole.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indexpanel.llm import mixing, near_dedup, quality_rules, residual_packing, secret_ownership
-from indexpanel.llm.common import materialize, unpacked
+from indexpanel.llm.common import discard, materialize, unpacked
 
 SHINGLE_WORDS, SIMILARITY_PERCENT, SEQUENCE = 5, 80, 2048
 
@@ -49,7 +51,9 @@ ORACLE_SQL = None  # the stages hash, sketch and tokenize in ways SQL has no wor
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))
+        discard(*written)
+        written = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
