@@ -83,7 +83,7 @@ def test_fences_differ_between_groups(spark):
 def test_repeats_are_judged_by_their_group(spark):
     """A text with a third of its lines repeated goes where nobody repeats lines, and stays where many do."""
     def text(i: int, repeats: int) -> str:
-        lines = [" ".join(f"w{i:04}x{k}y{w}" for w in range(6)) for k in range(8 - repeats)]
+        lines = [" ".join(f"w{i:04}x{k}y{w}" for w in range(3)) for k in range(8 - repeats)]
         return "\n".join(lines + lines[:repeats])
 
     rows = [(i, text(i, 0), "en", "flat") for i in range(300)] + [(400 + i, text(400 + i, 2 * (i % 10 == 0)), "en", "song") for i in range(300)]
