@@ -170,7 +170,9 @@ def judged(docs: DataFrame, lang: str = "lang", source: str = "source", text: st
     """Every row as the struct `row`, with the base counts, base_failed, the ratios, and kept."""
     row = F.struct(*[F.col(quoted(c)) for c in docs.columns])
     with scratch() as keep:
-        thresholds = keep(fences(materialize(sketches(measured(docs, F.lit(0), lang, source, text))), support))
+        # Written first: in the sketch every ratio is used many times, and Spark would count its text as often.
+        counted = materialize(measured(docs, F.lit(0), lang, source, text))
+        thresholds = keep(fences(materialize(sketches(counted)), support))
     return _verdicts(measured(docs, row, lang, source, text), thresholds)
 
 
@@ -179,7 +181,7 @@ def verdicts(docs: DataFrame, carry: list[str], lang: str = "lang", source: str
     """As judged, with only the columns `carry` in the struct `row`: their measures are written, so texts are read once."""
     with scratch() as keep:
         rows = materialize(measured(docs, F.struct(*[F.col(quoted(c)) for c in carry]), lang, source, text))
-        return keep(_verdicts(rows, materialize(fences(sketches(rows), support))))
+        return keep(_verdicts(rows, materialize(fences(materialize(sketches(rows)), support))))
 
 
 def _verdicts(rows: DataFrame, thresholds: DataFrame) -> DataFrame:
