@@ -5,8 +5,12 @@ chain of blocks labelled main text or not, decoded by Viterbi. The field is trai
 on TRAINING_PAGES labelled pages, which `labelled_pages` writes from layouts with known parts; that number is the bound of the
 training set. Pages are decoded where they lie, one after the other; no page meets another.
 
+A page takes time and memory by its length, whatever its markup: very long ones, unclosed tags and quotes, deep nesting.
+
 Defined results: null, empty and text-free html give an empty text; unclosed and stray tags are closed by the rules of
-HTML or skipped; repeated rows give repeated results; an empty table gives an empty result.
+HTML or skipped, and a frame or other hidden element without an end hides nothing; text in CDATA sections is text; repeated
+rows give repeated results; an empty table gives an empty result. Further columns of `pages`, also one named like an output
+column, are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indexpanel.llm.common import map_arrow, quoted
-from indexpanel.llm.dom_blocks import blocks_of, features
+from indexpanel.llm.dom_blocks import blocks_of, features, label_of, scores
 
 TRAINING_PAGES = 400
 SEED = 5
@@ -31,6 +35,11 @@ PENALTY = 0.00005
 # Parts of training pages: (tag, class or id words) of containers, main or not.
 MAIN = [("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "article-body"), ("section", "story"),
         ("div", "entry-content"), ("div", "post-text"), ("div", "mainContent"), ("div", ""), ("body", ""), ("div", "page")]
+# Classes of wrappers and articles that name parts of the page without being one.
+LAYOUTS = ["wrapper", "container", "page has-sidebar", "layout with-menu", "row no-ads", "site sidebar-right", "columns sidebar-left",
+           "with-footer grid", "has-comments page", "outer"]
+FILED = ["", "", "", " tag-ads", " category-menu", " tag-sidebar hentry", " has-comments", " format-standard", " tag-promo topic-forms",
+         " type-post cat-footer"]
 OTHER = {
     "menu": [("nav", ""), ("nav", "menu"), ("div", "navbar"), ("ul", "menu-items"), ("div", "breadcrumbs"), ("div", "navigation"),
              ("div", "tabs"), ("header", "topnav")],
@@ -103,7 +112,7 @@ def _main(rng: random.Random) -> str:
     body = "".join(parts)
     if tag == "body":
         return f'<section data-label="1">{body}</section>' if rng.random() < 0.3 else f'<div data-label="1">{body}</div>'
-    return _opened(tag, name, 1) + body + f"</{tag}>"
+    return _opened(tag, (name + rng.choice(FILED)).strip(), 1) + body + f"</{tag}>"
 
 
 def labelled_pages(n: int, seed: int) -> list[str]:
@@ -115,8 +124,9 @@ def labelled_pages(n: int, seed: int) -> list[str]:
         below = [_other(rng, k) for k in ("sidebar", "form", "comments", "advert", "notice") if rng.random() < 0.45]
         rng.shuffle(above)
         rng.shuffle(below)
-        wrapped = rng.random() < 0.3
-        pages.append("<html><head><title>x</title></head><body>" + '<div class="wrapper">' * wrapped + "".join(above) + _main(rng)
+        wrapped = rng.random() < 0.4
+        opened = f'<div class="{rng.choice(LAYOUTS)}">' * wrapped
+        pages.append("<html><head><title>x</title></head><body>" + opened + "".join(above) + _main(rng)
                      + "".join(below) + (_other(rng, "footer") if rng.random() < 0.8 else "") + "</div>" * wrapped + "</body></html>")
     return pages
 
@@ -124,8 +134,7 @@ def labelled_pages(n: int, seed: int) -> list[str]:
 def labels_of(page: str) -> tuple[list[list[str]], list[int]]:
     """Features and labels of the blocks of a labelled page; the innermost data-label counts."""
     blocks = blocks_of(page)
-    marks = [next((int(e.label) for e in reversed(b.ancestors) if e.label is not None), 0) for b in blocks]
-    return [features(b, i / max(1, len(blocks) - 1)) for i, b in enumerate(blocks)], marks
+    return [features(b, i / max(1, len(blocks) - 1)) for i, b in enumerate(blocks)], [label_of(b) for b in blocks]
 
 
 def trained(pages: list[str]) -> tuple[dict[str, float], np.ndarray]:
@@ -201,8 +210,8 @@ def decoded(emission: list[float], moves: np.ndarray) -> list[int]:
 
 def main_text(page: str | None, weights: dict[str, float], moves: np.ndarray) -> str:
     blocks = blocks_of(page)
-    scores = [sum(weights.get(f, 0.0) for f in features(b, i / max(1, len(blocks) - 1))) for i, b in enumerate(blocks)]
-    return "\n".join(b.text for b, label in zip(blocks, decoded(scores, moves), strict=True) if label)
+    labels = decoded(scores(blocks, weights), moves)
+    return "\n".join(b.text for b, label in zip(blocks, labels, strict=True) if label)
 
 
 def extracted(pages: DataFrame, html: str = "html", training_pages: int = TRAINING_PAGES, seed: int = SEED) -> DataFrame:

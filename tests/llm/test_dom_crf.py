@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import itertools
+import time
+
+import numpy as np
 import pytest
 
 from indexpanel.llm import dom_crf as d
@@ -68,6 +72,73 @@ def test_odd_pages_do_not_fail(model, page):
     assert isinstance(d.main_text(page, *model), str)
 
 
+@pytest.mark.parametrize("page", [
+    f"<article><p data-x=it's>{PROSE}</p></article>",
+    f'<article><p title="a"b">{PROSE}</p></article>',
+    f'<article><p title=\'a > b\' x="</p>">{PROSE}</p></article>',
+    f"<article><p a = b/c =d e=>{PROSE}</p ></article x>",
+    f"<article><p><![CDATA[{PROSE}]]></p></article>",
+    f'<article><iframe src="x"><p>{PROSE}</p></article>',
+    f"<article><select><p>{PROSE}</p></article>",
+    f"<article><iframe><p>hidden</p></IFRAME ><p>{PROSE}</p></article>",
+    f"<article><script>if (a < b) x = '<p>no</p>';</script x><!--><p>{PROSE}</p><?pi x?><!x></article>",
+    f'<body class="home page sidebar-right"><div class="has-sidebar"><article class="post tag-ads"><p>{PROSE}</p></article></div></body>',
+    f'<body class="with-comments"><div class="layout with-menu"><ul class="menu"><li><a href="/">Home</a></li><li><a href="/">More</a></li></ul>'
+    f'<main class="type-post"><p>{PROSE}</p></main><div class="sidebar"><ul><li><a href="/">Other</a></li></ul></div></div>',
+])
+def test_broken_markup_and_layout_words(model, page):
+    assert d.main_text(page, *model) == PROSE
+
+
+def test_text_outside_markup_is_whole():
+    page = "<p>1 < 2 &lt;b&gt; a<b>b</b>c <3 &am<i>p;</i> <![CDATA[<x> &amp;]]></p><p>d</ x>e</p>f <g h"
+    assert [b.text for b in blocks_of(page)] == ["1 < 2 <b> abc <3 &amp; <x> &amp;", "de", "f"]
+
+
+@pytest.mark.parametrize("unit", [
+    "<a '", "<a ", '<a b="', "<p a='", "<", "</", "<!--", "<![CDATA[", "</script", "<iframe>", "<svg>x", "<div>x", "<i><b>x</i>", "<div></x>",
+    "<noscript>x", "<p x=", "<p/", "<p  ", '<div class="has-x">y'])
+def test_time_grows_with_the_length_alone(model, unit):
+    def seconds(n: int) -> float:
+        start = time.process_time()
+        d.main_text("<head>" + unit * n, *model)
+        return time.process_time() - start
+
+    assert seconds(80_000 // len(unit)) < 4.0
+    assert seconds(320_000 // len(unit)) < 16.0
+
+
+def test_scores_equal_the_sum_over_all_features(model):
+    weights, _ = model
+    for page in d.labelled_pages(30, 77):
+        blocks = blocks_of(page)
+        rows, _ = d.labels_of(page)
+        assert d.scores(blocks, weights) == pytest.approx([sum(weights.get(f, 0.0) for f in row) for row in rows])
+        assert all(len(row) == len(set(row)) for row in rows)
+
+
+def test_viterbi_and_marginals_equal_sums_over_all_label_paths():
+    rng = np.random.default_rng(3)
+    for length in (1, 2, 3, 6):
+        for _ in range(20):
+            emission, moves = rng.normal(0, 2, length), rng.normal(0, 2, (3, 2))
+            paths = list(itertools.product((0, 1), repeat=length))
+            scores = np.array([moves[2][p[0]] + sum(moves[a][b] for a, b in itertools.pairwise(p)) + np.dot(p, emission) for p in paths])
+            assert tuple(d.decoded(emission.tolist(), moves)) == paths[int(scores.argmax())]
+            odds = np.exp(scores - scores.max())
+            odds /= odds.sum()
+            padded = np.zeros((1, 8))
+            padded[0, :length] = emission
+            share, pairs = d._marginals(padded, moves, np.arange(8)[None] < length)
+            assert share[0, :length] == pytest.approx(odds @ np.array(paths))
+            expected = np.zeros((3, 2))
+            for p, o in zip(paths, odds, strict=True):
+                expected[2][p[0]] += o
+                for a, b in itertools.pairwise(p):
+                    expected[a][b] += o
+            assert pairs == pytest.approx(expected)
+
+
 def test_query_shape(spark):
     rows = [(1, "u", f"<article><p>{PROSE}</p></article>", "z"), (1, "u", f"<article><p>{PROSE}</p></article>", "z"), (None, None, None, "z"),
             (2, "v", "<article>" + f"<p>{PROSE}</p>" * 3000 + "</article>", "z")]
