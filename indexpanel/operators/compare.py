@@ -1,7 +1,7 @@
 """Cross-sections: ranks, benchmarks, persistence, spread.
 
-Cross-sectional windows are partitioned by period over a panel, so a task holds at most
-one row per member of the dimension.
+Ranks are taken over ranges of values (see `ranges`), and reference values are aggregated per period and joined back, so no task
+holds a whole period. `top_k_per_group` is a window by group, which Spark cuts to the k highest before the shuffle.
 """
 
 from __future__ import annotations
@@ -14,19 +14,20 @@ from pyspark.sql import functions as F
 
 from indexpanel.functions.numbers import exact, round_half_up
 from indexpanel.functions.text import compare_band
+from indexpanel.operators.ranges import rank_of_values
 
 
 def rank_within(
     df: DataFrame, value: str, by: Sequence[str], name: str = "rank", descending: bool = True
 ) -> DataFrame:
-    """Competition rank (1, 2, 2, 4), per period."""
-    key = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    return df.withColumn(name, F.rank().over(W.partitionBy(*by).orderBy(key)).cast("bigint"))
+    """Competition rank (1, 2, 2, 4) of a number, per period of any size; NULLs rank last."""
+    return rank_of_values(df, value, by, name, descending)
 
 
 def top_k_per_group(df: DataFrame, value: str, by: Sequence[str], k: int, name: str = "rank") -> DataFrame:
     """The k highest of each group, ties included; pruned before the shuffle."""
-    return rank_within(df, value, by, name).filter(F.col(name) <= k)
+    rank = F.rank().over(W.partitionBy(*by).orderBy(F.col(value).desc_nulls_last()))
+    return df.withColumn(name, rank.cast("bigint")).filter(F.col(name) <= k)
 
 
 def member_value(value: str, member: str, which: str, by: Sequence[str]) -> Column:
@@ -52,14 +53,14 @@ def member_rows(
 
 def vs_members(
     df: DataFrame, value: str, member: str, references: Mapping[str, str], by: Sequence[str],
-    digits: int = 2, required: bool = False,
+    digits: int = 2, required: bool = False, found_in: DataFrame | None = None,
 ) -> DataFrame:
     """Difference (points) from named members: {output column: member}.
 
     `required` drops periods in which a reference member is missing. Its values are one row per period, joined back, so
-    no task holds a whole period.
+    no task holds a whole period. They are looked up in `found_in`, where `df` holds more than its plan needs for them.
     """
-    refs = member_rows(df, value, member, {f"__{n}": m for n, m in references.items()}, by, required)
+    refs = member_rows(df if found_in is None else found_in, value, member, {f"__{n}": m for n, m in references.items()}, by, required)
     out = df.join(refs, list(by), "inner" if required else "left").select(*df.columns, *[f"__{n}" for n in references])
     return out.withColumns({
         n: round_half_up(F.col(value) - F.col(f"__{n}"), digits) for n in references

@@ -1,4 +1,8 @@
-"""Weighted decomposition, lookups and hierarchy roll-up."""
+"""Weighted decomposition, lookups and hierarchy roll-up.
+
+Bars of a waterfall are placed over ranges of contributions (see `ranges`). Totals of a period are windows over its members:
+joined back, they would read the facts once more wherever Spark prunes other columns in the totals' branch.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from indexpanel.functions.numbers import exact, round_half_up
+from indexpanel.operators.ranges import descending, running
 
 
 def with_lookup(
@@ -77,18 +82,12 @@ def contribution_share(
 
 def waterfall(df: DataFrame, by: Sequence[str], member: str) -> DataFrame:
     """Start and end of each bar, largest contribution first (ties by name)."""
-    w = (
-        W.partitionBy(*by)
-        .orderBy(F.col("contribution_pp").desc_nulls_last(), F.col(member))
-        .rowsBetween(W.unboundedPreceding, 0)
-    )
     step = F.coalesce(exact(F.col("contribution_pp"), 2), F.lit(0).cast("decimal(38,2)"))
-    end = F.sum(step).over(w)
-    return df.withColumns({
-        "bar": F.row_number().over(w).cast("bigint"),
-        "bar_end": end.cast("double"),
-        "bar_start": (end - step).cast("double"),
-    })
+    placed = running(df.withColumn("__step", step), by, [*descending(F.col("contribution_pp")), F.col(member)],
+                     {"bar": F.lit(1), "__end": F.col("__step")})
+    return placed.select(
+        *df.columns, "bar", F.col("__end").cast("double").alias("bar_end"),
+        (F.col("__end") - F.col("__step")).cast("double").alias("bar_start"))
 
 
 def rollup_check(
