@@ -10,6 +10,7 @@ from indexpanel.operators import quality, reshape
 from indexpanel.plans.sales_panel import table
 from indexpanel.queries.base import query
 from indexpanel.sources import staged
+from indexpanel.sources.records import records
 from indexpanel.sources.staged import Pick
 
 PICKS = [
@@ -130,3 +131,35 @@ def pivot_first(spark, sf):
         table(spark, sf, "lineitem"), ["l_orderkey"], "l_returnflag", "l_extendedprice", FLAGS, ORDER, other="n_other"
     )
     return reshape.rename(wide, {f: f"price_{f}" for f in FLAGS})
+
+
+PART_DOCUMENTS, SPLIT_LINES = 500, 3
+
+
+def document_lines(spark, sf):
+    """Documents as lines of staged files of 500 rows with a header, the text quoted with its line breaks, in splits of three
+    lines each, so that records cross their edges."""
+    docs = table(spark, sf, "documents")
+    part = F.floor(F.col("doc_id") / PART_DOCUMENTS)
+    record = F.concat_ws(",", F.col("doc_id").cast("string"), F.concat(
+        F.lit('"'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')), F.coalesce("lang", F.lit("")),
+        F.concat(F.lit('"from\n'), F.coalesce("source", F.lit("")), F.lit('"')))
+    body = docs.select(part.alias("file"), F.col("doc_id").alias("row"), F.posexplode(F.split(record, "\n")).alias("pos", "line"))
+    header = docs.select(part.alias("file")).distinct().select(
+        "file", F.lit(-1).alias("row"), F.lit(0).alias("pos"), F.lit("doc_id,text,lang,source").alias("line"))
+    lines = body.unionByName(header)
+    return lines.select("file", F.struct("row", F.floor(F.col("pos") / SPLIT_LINES).alias("block")).alias("split"),
+                        F.col("pos").alias("at"), "line")
+
+
+@query(r"""SELECT doc_id AS doc_ref, CAST(length(text) AS BIGINT) AS n_chars, sha256(text) AS text_sha256, lang,
+  CAST(1 + length(text) - length(replace(text, chr(10), '')) AS BIGINT) AS n_lines, 'from' || chr(10) || source AS origin,
+  'loaded' AS status FROM documents""")
+def staged_records(spark, sf):
+    """Whole documents through staged files whose quoted fields hold line breaks."""
+    rows = records(document_lines(spark, sf)).where("record > 0")
+    loaded = staged.load_with_rejects(rows, [Pick("doc_ref", 1, "bigint"), Pick("body", 2), Pick("lang", 3), Pick("origin", 4)])
+    body = F.coalesce("body", F.lit(""))
+    return loaded.select(
+        "doc_ref", F.char_length(body).cast("bigint").alias("n_chars"), F.sha2(body, 256).alias("text_sha256"), "lang",
+        (F.size(F.split(body, "\n"))).cast("bigint").alias("n_lines"), "origin", "status")

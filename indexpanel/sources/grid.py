@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RECORD = r'(?s)\G(?=.)((?:"(?:[^"]|"")*+"|[^"\n])*+)(?:\n|\z)'
+from indexpanel.sources.records import read_records
+
 FIELD = r'(?s)\G("(?:[^"]|"")*+"|[^,]*),'
 
 
@@ -38,14 +39,14 @@ def read_grid(spark: SparkSession, path: str | list[str], n_columns: int | None
     """Sheets exported as CSV without header, one file per sheet named <sheet>.csv.
 
     Rows keep all their cells; quoted cells may hold commas, doubled quotes and line breaks. Rows shorter than
-    `n_columns` are filled with NULL. A file is one string in one task, so that its row order is known: a sheet holds at
-    most 1,048,576 rows by its format, and a file of 2 GB or more fails to read. Many sheets are read in parallel.
+    `n_columns` are filled with NULL, an empty line is a row of one empty cell. Files of any size are read in splits (see
+    `records`, also for quotes that are never closed).
     """
-    sheet = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
-    files = spark.read.text(path, wholetext=True).select(sheet.alias("sheet"), F.regexp_replace("value", r"\r?\n\z", "").alias("value"))
-    # A row is everything up to a line break outside quotes, a cell everything up to a comma outside quotes.
-    rows = files.select("sheet", F.posexplode(F.regexp_extract_all("value", F.lit(RECORD), F.lit(1))).alias("row_idx", "line"))
-    bare = F.regexp_extract_all(F.concat(F.regexp_replace("line", r"\r\z", ""), F.lit(",")), F.lit(FIELD), F.lit(1))
+    name = F.url_decode(F.replace(F.col("file.file_name"), F.lit("+"), F.lit("%2B")))  # Spark gives it as in a URL
+    sheet = F.regexp_replace(name, r"\.csv$", "")
+    rows = read_records(spark, path).select(sheet.alias("sheet"), F.col("record").cast("int").alias("row_idx"), "line")
+    # A cell is everything up to a comma outside quotes.
+    bare = F.regexp_extract_all(F.concat("line", F.lit(",")), F.lit(FIELD), F.lit(1))
     cells = F.transform(bare, lambda c: F.when(c == "", F.lit(None)).when(
         c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c))
     if n_columns:

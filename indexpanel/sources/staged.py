@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indexpanel.sources.records import read_records
+
 
 class Pick(NamedTuple):
     """Column `position` (from 1) of the file as `name`, cast to `kind`."""
@@ -65,16 +67,10 @@ def rejects(loaded: DataFrame, line: str = "line") -> DataFrame:
 
 
 def read_staged(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:
-    """`line` of staged files, without the first line of each file if they have a header."""
-    rows = spark.read.text(path).select(
-        F.col("value").alias("line"), F.monotonically_increasing_id().alias("__at"),
-        F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
-    )
-    if not header:
-        return rows.select("line")
-    # The first line of a file is the first one that is read of its first block.
-    first = rows.filter("__start = 0").groupBy("__file").agg(F.min("__at").alias("__at"))
-    return rows.join(first, ["__file", "__at"], "left_anti").select("line")
+    """`line` of staged files, without the first record of each file if they have a header. Line breaks inside quotes
+    belong to their field (see `records`)."""
+    rows = read_records(spark, path)
+    return (rows.where("record > 0") if header else rows).select("line")
 
 
 def load_metrics(loaded: DataFrame) -> DataFrame:
