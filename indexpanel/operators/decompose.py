@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -108,3 +108,74 @@ def rollup_check(
         .agg(*sums)
         .withColumn("ok", reduce(and_, same))
     )
+
+
+def code_prefixes(ref: Column, shortest: int = 1) -> Column:
+    """All prefixes of a code from `shortest` characters on, itself included, shortest first: SE9, SE90, SE904."""
+    n = F.char_length(ref)
+    return F.when(n >= shortest, F.transform(F.sequence(F.lit(shortest), F.greatest(n, F.lit(shortest))),
+                                             lambda i: F.substring(ref, F.lit(1), i)))
+
+
+def path_prefixes(ref: Column, separator: str = " ") -> Column:
+    """All leading parts of a path, itself included, shortest first."""
+    parts = F.split(ref, rf"\Q{separator}\E")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), separator))
+
+
+def closure(codes: DataFrame, ref: str, prefixes: Column) -> DataFrame:
+    """(ancestor, descendant, steps): every pair of codes of which one leads to the other, each code with itself at 0 steps.
+
+    `prefixes` are the array of all codes that could stand above `ref`, shortest first and itself last (see `code_prefixes`); those
+    that no row has are left out, and `steps` counts the missing ones too. One expansion and one join by code, for any depth.
+    NULL codes are in no pair, repeated ones count once.
+    """
+    members = codes.select(F.col(ref).alias("descendant"), prefixes.alias("__above")).where(
+        F.col("descendant").isNotNull()).dropDuplicates(["descendant"])
+    pairs = members.select("descendant", F.size("__above").alias("__depth"), F.posexplode("__above").alias("__at", "ancestor"))
+    known = members.select(F.col("descendant").alias("ancestor"))
+    return pairs.join(known, "ancestor", "left_semi").select(
+        "ancestor", "descendant", (F.col("__depth") - 1 - F.col("__at")).alias("steps"))
+
+
+def hierarchy(pairs: DataFrame, shortest_depth: Column | None = None) -> DataFrame:
+    """(ref, parent, steps_up, n_children, is_leaf, is_orphan, is_gap) of every code of a closure.
+
+    The parent is the nearest code above. An orphan has none although `shortest_depth` (a Column over `ref`, TRUE at the top level)
+    says that it should; at a gap the level right above is missing.
+    """
+    up = pairs.where("steps > 0").groupBy(F.col("descendant").alias("ref")).agg(
+        F.min(F.struct("steps", "ancestor")).alias("__up"))
+    every = pairs.where("steps = 0").select(F.col("descendant").alias("ref"))
+    linked = every.join(up, "ref", "left").select(
+        "ref", F.col("__up.ancestor").alias("parent"), F.col("__up.steps").alias("steps_up"))
+    children = linked.where("parent IS NOT NULL").groupBy(F.col("parent").alias("ref")).agg(F.count("*").alias("n_children"))
+    top = shortest_depth if shortest_depth is not None else F.lit(False)
+    return linked.join(children, "ref", "left").select(
+        "ref", "parent", "steps_up", F.coalesce("n_children", F.lit(0).cast("bigint")).alias("n_children"),
+        F.col("n_children").isNull().alias("is_leaf"), (F.col("parent").isNull() & ~top).alias("is_orphan"),
+        F.coalesce(F.col("steps_up") > 1, F.lit(False)).alias("is_gap"))
+
+
+def rollup_closure(fact: DataFrame, ref: str, pairs: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Every code beside the sum of the leaves below it, per `by`, for a hierarchy of any depth.
+
+    `pairs` is a closure of the members, which need not have facts. The facts are aggregated to (code, by), meet the codes above
+    theirs in one join, and are summed there. A leaf has no sum from below (NULL) and is ok; a code whose leaves have no row
+    of that period, or the other way round, is not. A code that the closure lacks is a leaf. Rows of a NULL code are left out.
+    """
+    cells = fact.where(F.col(ref).isNotNull()).groupBy(F.col(ref).alias("__ref"), *by).agg(*[F.sum(m).alias(m) for m in measures])
+    inner = pairs.where("steps > 0").select(F.col("ancestor").alias("descendant")).distinct().withColumn("__inner", F.lit(True))
+    above = pairs.join(inner, "descendant", "left").select(
+        F.col("descendant").alias("__ref"), F.col("ancestor").alias("__above"), (F.col("steps") == 0).alias("__self"), "__inner")
+    met = cells.join(above, "__ref", "left").withColumns({
+        "__above": F.coalesce("__above", "__ref"), "__self": F.coalesce("__self", F.lit(True)),
+        "__leaf": F.col("__inner").isNull()})
+    sums = [F.sum(F.when(side, F.col(m))).alias(f"{m}{suffix}") for m in measures
+            for side, suffix in ((F.col("__self"), ""), (~F.col("__self") & F.col("__leaf"), "_rolled_up"))]
+    same = reduce(and_, [F.col(m).eqNullSafe(F.col(f"{m}_rolled_up")) for m in measures])
+    return (
+        met.groupBy(F.col("__above").alias(ref), *by)
+        .agg(*sums, F.bool_or(F.col("__self") & F.col("__leaf")).alias("__leaf"))
+        .withColumn("ok", F.col("__leaf") | same).drop("__leaf")
+    )

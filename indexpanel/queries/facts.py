@@ -160,3 +160,58 @@ def star_report(spark, sf):
     }
     pairs = F.array(*[F.struct(F.lit(t).alias("table_name"), n.alias("expected")) for t, n in sizes.items()])
     return star.verify_star(star.build_star(*panels), spark.range(1).select(F.inline(pairs)))
+
+
+# Codes of four levels: 'PROMO' > 'PROMO 1' > 'PROMO 1 Brand#11' > 'PROMO 1 Brand#11 tradeables'. Some are not published, so that
+# orphans (no SMALL), gaps (no 'PROMO 1') and wrong totals (ECONOMY without Brand#11) show.
+LEVELS_SQL = f"""{SALES},
+named AS (SELECT p_type || ' ' || substring(p_brand, 7, 1) AS b, * FROM sales),
+published AS (
+  SELECT b || ' ' || p_brand || ' ' || component AS code, ordinal, v, q FROM named
+  UNION ALL SELECT b || ' ' || p_brand, ordinal, v, q FROM named
+  UNION ALL SELECT b, ordinal, v, q FROM named WHERE p_type <> 'PROMO'
+  UNION ALL SELECT p_type, ordinal, v, q FROM named WHERE p_type <> 'SMALL' AND NOT (p_type = 'ECONOMY' AND p_brand = 'Brand#11')),
+cells AS (SELECT code, ordinal, SUM(v) AS value, SUM(q) AS quantity FROM published GROUP BY code, ordinal),
+listed AS (SELECT p_type AS a, p_type || ' ' || substring(p_brand, 7, 1) AS b, p_brand,
+  CASE WHEN p_size <= 25 THEN 'tradeables' ELSE 'nontradeables' END AS component FROM part),
+members AS (SELECT DISTINCT code FROM (SELECT b || ' ' || p_brand || ' ' || component AS code FROM listed
+  UNION ALL SELECT b || ' ' || p_brand FROM listed UNION ALL SELECT b FROM listed WHERE a <> 'PROMO'
+  UNION ALL SELECT a FROM listed WHERE a <> 'SMALL' AND NOT (a = 'ECONOMY' AND p_brand = 'Brand#11')) WHERE code IS NOT NULL),
+climb AS (SELECT code AS descendant, code AS ancestor, 0 AS steps FROM members
+  UNION ALL SELECT descendant, regexp_replace(ancestor, ' [^ ]*$', ''), steps + 1 FROM climb WHERE ancestor LIKE '% %'),
+pairs AS (SELECT descendant, ancestor, steps FROM climb JOIN members ON ancestor = code WHERE steps > 0),
+leaves AS (SELECT code FROM members WHERE code NOT IN (SELECT ancestor FROM pairs)),
+rolled AS (SELECT ancestor AS code, ordinal, SUM(value) AS value, SUM(quantity) AS quantity
+  FROM pairs JOIN leaves ON descendant = leaves.code JOIN cells ON cells.code = descendant GROUP BY ancestor, ordinal),
+parents AS (SELECT descendant AS code, arg_min(ancestor, steps) AS parent, min(steps) AS steps_up FROM pairs GROUP BY descendant),
+children AS (SELECT parent AS code, count(*) AS n FROM parents GROUP BY parent)"""
+
+
+@query(f"""WITH RECURSIVE {LEVELS_SQL}
+SELECT coalesce(c.code, r.code) AS code, {LABEL.replace("ordinal", "coalesce(c.ordinal, r.ordinal)")} AS period,
+  CAST(c.value AS DOUBLE) AS value, CAST(r.value AS DOUBLE) AS value_rolled_up, CAST(c.quantity AS DOUBLE) AS quantity,
+  CAST(r.quantity AS DOUBLE) AS quantity_rolled_up,
+  n.n IS NULL OR (c.value IS NOT DISTINCT FROM r.value AND c.quantity IS NOT DISTINCT FROM r.quantity) AS ok,
+  p.parent, CAST(coalesce(n.n, 0) AS BIGINT) AS n_children,
+  p.parent IS NULL AND coalesce(c.code, r.code) LIKE '% %' AS is_orphan, coalesce(p.steps_up > 1, FALSE) AS is_gap
+FROM cells c FULL JOIN rolled r ON c.code = r.code AND c.ordinal = r.ordinal
+LEFT JOIN parents p ON p.code = coalesce(c.code, r.code) LEFT JOIN children n ON n.code = coalesce(c.code, r.code)""")
+def hierarchy_closure(spark, sf):
+    """A hierarchy of four levels rolled up from its leaves, with orphans and gaps in the levels."""
+    kind, brand = F.col("p_type"), F.col("p_brand")
+    line = F.concat(kind, F.lit(" "), F.substring(brand, 7, 1))
+    levels = F.filter(F.array(
+        F.concat(line, F.lit(" "), brand, F.lit(" "), "component"), F.concat(line, F.lit(" "), brand),
+        F.when(kind != "PROMO", line), F.when((kind != "SMALL") & ~((kind == "ECONOMY") & (brand == "Brand#11")), kind),
+    ), lambda c: c.isNotNull())
+    fact = sp.sales_cells(spark, sf, ["p_type", "p_brand", "component"]).select(
+        "ordinal", "value", "quantity", F.explode(levels).alias("code"))
+    component = F.when(F.col("p_size") <= sp.COMPONENT_SIZE, sp.COMPONENTS[0]).otherwise(sp.COMPONENTS[1])
+    members = sp.table(spark, sf, "part").withColumn("component", component).select(F.explode(levels).alias("code"))
+    pairs = decompose.closure(members, "code", decompose.path_prefixes(F.col("code")))
+    measures = ["value", "quantity"]
+    rolled = decompose.rollup_closure(fact, "code", pairs, ["ordinal"], measures)
+    linked = decompose.hierarchy(pairs, ~F.col("ref").contains(" "))
+    out = sp.with_period(rolled).join(linked.withColumnRenamed("ref", "code"), "code")
+    return out.select("code", "period", *[F.col(c).cast("double") for m in measures for c in (m, f"{m}_rolled_up")], "ok",
+                      "parent", "n_children", "is_orphan", "is_gap")
