@@ -119,3 +119,17 @@ def latest_n(spark, sf):
     orders = table(spark, sf, "orders")
     top = series.latest_n(orders, 8, F.desc("o_orderdate"), F.asc("o_orderkey"))
     return top.select("o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("order_date"), "o_totalprice")
+
+
+@query("""WITH p AS (SELECT l_extendedprice AS price, l_quantity AS quantity, l_extendedprice * 1e12 AS scaled_price,
+  CASE WHEN l_discount = 0 THEN 'nan'::DOUBLE ELSE l_discount END AS discount FROM lineitem)
+SELECT u.c AS column_name, CAST(count(*) FILTER (u.v IS NOT NULL AND (isnan(u.v) OR abs(u.v) >= 9e16)) AS BIGINT) AS n_unusable
+FROM (SELECT unnest([{'c': 'price', 'v': price}, {'c': 'quantity', 'v': quantity}, {'c': 'scaled_price', 'v': scaled_price},
+  {'c': 'discount', 'v': discount}]) AS u FROM p) GROUP BY u.c""")
+def unusable_amounts(spark, sf):
+    """Amounts that the exact sums leave out: of line items as they are, scaled beyond the range, and with NaN for no discount."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"),
+        (F.col("l_extendedprice") * 1e12).alias("scaled_price"),
+        F.when(F.col("l_discount") == 0, float("nan")).otherwise(F.col("l_discount")).alias("discount"))
+    return q.unusable_amounts(lines, lines.columns)
